@@ -63,8 +63,13 @@ def candidate_predictions(rows: DataFrame, extra: tuple[str, ...] = ()) -> DataF
     return out.select("city", "date", "horizon", "actual", "naive", *extra, F.inline("_guess"))
 
 
+def scored_part(spark, sf_dir) -> DataFrame:
+    """The last 30 percent: enough for rows whose three-day outcome is known."""
+    return holdout(complete_frame(spark, sf_dir), sql.SCORED_SHARE).where("split = 'test'")
+
+
 def test_predictions(spark, sf_dir) -> DataFrame:
-    return candidate_predictions(holdout(complete_frame(spark, sf_dir)).where("split = 'test'"))
+    return candidate_predictions(scored_part(spark, sf_dir))
 
 
 def candidate_scores(spark, sf_dir) -> DataFrame:
@@ -74,8 +79,7 @@ def candidate_scores(spark, sf_dir) -> DataFrame:
 @query("naive_forecast", sql.CANDIDATE_SCORES + f"""
 select horizon, n, {sql.rounded(*SCORES)} from scored where model = 'naive'""")
 def naive_forecast(spark, sf_dir):
-    test = holdout(complete_frame(spark, sf_dir)).where("split = 'test'")
-    scores = metrics.score(metrics.persistence(test, (1, 2, 3)), ["horizon"])
+    scores = metrics.score(metrics.persistence(scored_part(spark, sf_dir), (1, 2, 3)), ["horizon"])
     return rounded(scores, *SCORES).select("horizon", "n", *SCORES)
 
 
@@ -213,7 +217,7 @@ select city, horizon as day, {s6('european_aqi')} as current_aqi, {s6('european_
 from newest join scored on model = 'naive' and horizon <= 2""")
 def forecast_interval(spark, sf_dir):
     rows = complete_frame(spark, sf_dir)
-    test = holdout(rows).where("split = 'test'")
+    test = holdout(rows, sql.SCORED_SHARE).where("split = 'test'")
     scores = metrics.score(metrics.persistence(test, (1, 2)), ["horizon"])  # no model for day 3: left out
     models = scores.select(
         F.col("horizon").alias("day"), F.lit("naive").alias("model_used"), F.lit(1).alias("model_version"), "rmse"
@@ -277,12 +281,12 @@ def aqi_alerts(spark, sf_dir):
 
 
 @query("model_decay", sql.CANDIDATE_SCORES + f""",
-both as (select a.horizon, a.rmse, b.rmse as baseline_rmse, (a.rmse - b.rmse) / b.rmse * 100 as degradation
+decay as (select a.horizon, a.rmse, b.rmse as baseline_rmse, (a.rmse - b.rmse) / b.rmse * 100 as degradation
   from scored a join scored b on a.horizon = b.horizon and a.model = 'naive' and b.model = 'mean_day')
 select horizon, {sql.rounded('rmse', 'baseline_rmse', 'degradation')},
   'Live RMSE for the ' || horizon || '-day model is ' || printf('%.2f', rmse) || ' (+' || printf('%.1f', degradation)
     || '% above the baseline of ' || printf('%.2f', baseline_rmse) || ').' as message
-from both where degradation > 20""")
+from decay where degradation > 20""")
 def model_decay(spark, sf_dir):
     scores = written(candidate_scores(spark, sf_dir), "scores")
     found = alerts.decay_alerts(scores.where("model = 'naive'"), scores.where("model = 'mean_day'"))

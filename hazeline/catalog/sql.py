@@ -102,6 +102,8 @@ def ranked(source: str, name: str = "ranked") -> str:
 
 
 IS_TRAIN = "rk < floor(total * (1 - 0.2e0))"
+SCORED_SHARE = 0.3
+IS_SCORED = f"rk >= floor(total * (1 - {SCORED_SHARE}e0))"
 
 # Simple forecasters and the column each of them reads.
 CANDIDATES = {
@@ -109,7 +111,7 @@ CANDIDATES = {
 }
 
 
-def predictions(source: str = "ranked", where: str = f"not ({IS_TRAIN})", extra: str = "") -> str:
+def predictions(source: str = "ranked", where: str = IS_SCORED, extra: str = "") -> str:
     """`pred`: (model, horizon, city, date, actual, predicted, naive)."""
     parts = [
         f"select '{model}' as model, {h} as horizon, city, date, aqi_next_{h}d as actual, {column} as predicted, "

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -137,9 +140,19 @@ def add_gap_free_hours(df: DataFrame, keys: list[str] | None = None) -> DataFram
     return hours.join(df, [*keys, "date"], "left").select(*df.columns)
 
 
+def drop_incomplete(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Keep rows with a value in every column.
+
+    One null test per column, not `na.drop`: its single predicate over fifty
+    columns makes the optimizer derive a variant for every subset of renamed
+    columns, and planning runs out of memory.
+    """
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
+
+
 def complete_rows(df: DataFrame) -> DataFrame:
     """Drop rows with a missing feature; targets may be missing."""
-    return df.na.drop(subset=[c for c in df.columns if not c.startswith("aqi_next_")])
+    return drop_incomplete(df, [c for c in df.columns if not c.startswith("aqi_next_")])
 
 
 def feature_names(df: DataFrame) -> list[str]:

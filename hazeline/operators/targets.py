@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazeline.operators.features import drop_incomplete
+
 
 def delta_target(df: DataFrame, horizon: int, require_all_horizons: bool = False) -> DataFrame:
     """Complete rows for one horizon with `target` and `target_delta` = target - current index.
@@ -17,7 +19,8 @@ def delta_target(df: DataFrame, horizon: int, require_all_horizons: bool = False
     if name not in df.columns:
         raise ValueError(f"'{name}' not found: build features with horizon >= {horizon}")
     others = [c for c in df.columns if c.startswith("aqi_next_") and c != name]
-    rows = df.na.drop() if require_all_horizons else df.drop(*others).na.drop()
+    rows = df if require_all_horizons else df.drop(*others)
+    rows = drop_incomplete(rows, rows.columns)
     return (
         rows.drop(*others)
         .withColumn("target_delta", F.col(name) - F.col("european_aqi"))
