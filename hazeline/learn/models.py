@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.operators.profile import model_columns, robust_scaling
-from hazeline.operators.splits import before, cut_points
+from hazeline.operators.splits import tail_flag
 
 LABEL = "target_delta"
 SCALED = "_scaled_"
@@ -112,10 +112,7 @@ def _session() -> SparkSession:
 
 def mark_tail(train: DataFrame, share: float = 0.1) -> DataFrame:
     """Flag the last part of the training rows for early stopping; test rows stay unseen."""
-    n = train.count()
-    cuts = cut_points(train, [int(n * (1 - share))])
-    is_tail = ~before(cuts[0]) if cuts else F.lit(False)
-    return train.withColumn(VALIDATION, is_tail)
+    return train.withColumn(VALIDATION, tail_flag(train, share))
 
 
 def fit(

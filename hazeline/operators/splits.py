@@ -14,64 +14,82 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-Cut = tuple[datetime, str]
-
+from hazeline.session import written
 
-def _key(cut: Cut) -> tuple[Column, Column]:
-    return F.lit(cut[0].isoformat(sep=" ")).cast("timestamp_ntz"), F.lit(cut[1])
+Cut = tuple[datetime, str]
 
 
 def before(cut: Cut) -> Column:
-    date, city = _key(cut)
+    date, city = _date(cut[0]), F.lit(cut[1])
     return (F.col("date") < date) | ((F.col("date") == date) & (F.col("city") < city))
 
 
-def cut_points(df: DataFrame, ranks: Sequence[int]) -> list[Cut]:
+def date_counts(df: DataFrame) -> DataFrame:
+    """Rows per date, stored: totals and cut dates are both read from it."""
+    return written(df.groupBy("date").agg(F.count("*").alias("_n")), "dates")
+
+
+def cut_points(df: DataFrame, ranks: Sequence[int], dates: DataFrame | None = None) -> list[Cut]:
     """Keys of the rows with the given 0-based ranks."""
-    per_date = df.groupBy("date").agg(F.count("*").alias("_n"))
-    month = F.trunc("date", "month")
+    dates = dates if dates is not None else date_counts(df)
+    monthly = dates.withColumn("_month", F.trunc("date", "month"))
     # Running totals in two steps; only the handful of month totals shares a task.
-    months = per_date.groupBy(month.alias("_month")).agg(F.sum("_n").alias("_total"))
     so_far = Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
-    bases = months.select("_month", F.coalesce(F.sum("_total").over(so_far), F.lit(0)).alias("_base"))
-    in_month = Window.partitionBy("_month").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    running = (
-        per_date.withColumn("_month", month)
-        .withColumn("_run", F.sum("_n").over(in_month))
-        .join(bases, "_month")
-        .select("date", (F.col("_base") + F.col("_run") - F.col("_n")).alias("_start"),
-                (F.col("_base") + F.col("_run")).alias("_end"))
+    bases = monthly.groupBy("_month").agg(F.sum("_n").alias("_total")).select(
+        "_month", F.coalesce(F.sum("_total").over(so_far), F.lit(0)).alias("_base")
     )
-    wanted = F.explode(F.array(*[F.lit(int(r)).cast("bigint") for r in ranks])).alias("_rank")
-    dates = (
-        running.select("*", wanted).where("_start <= _rank and _rank < _end")
-        .select("_rank", "date", (F.col("_rank") - F.col("_start")).alias("_offset")).collect()  # one row per cut
-    )
-    hits = {(row["date"], row["_offset"]): row["_rank"] for row in dates}
-    if not hits:
+    in_month = Window.partitionBy("_month").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    running = monthly.withColumn("_run", F.sum("_n").over(in_month)).join(bases, "_month")
+    end = F.col("_base") + F.col("_run")
+    spans = running.select("date", (end - F.col("_n")).alias("_start"), end.alias("_end"))
+    found = _at_ranks(spans, ranks)
+    if not found:
         return []
-    one_date = Window.partitionBy("date").orderBy("city")
-    picked = F.lit(False)
-    for date, offset in hits:
-        picked = picked | ((F.col("date") == _key((date, ""))[0]) & (F.col("_i") == offset))
-    cities = (
-        df.where(F.col("date").isin([_key((date, ""))[0] for date, _ in hits]))
-        .select("date", "city", (F.row_number().over(one_date) - 1).alias("_i")).where(picked).collect()
+    # On a cut's own date, cities decide. Counts per city first: copies of a key collapse map-side.
+    days = {row["date"] for row in found}
+    on_day = df.where(F.col("date").isin([_date(d) for d in days])).groupBy("date", "city").agg(F.count("*").alias("_n"))
+    by_city = Window.partitionBy("date").orderBy("city").rowsBetween(Window.unboundedPreceding, 0)
+    base = F.element_at(
+        F.create_map(*[x for row in found for x in (_date(row["date"]), F.lit(row["_start"]))]), F.col("date")
     )
-    by_rank = {hits[(row["date"], row["_i"])]: (row["date"], row["city"]) for row in cities}
-    return [by_rank[r] for r in sorted(by_rank)]
+    upto = base + F.sum("_n").over(by_city)
+    cities = on_day.select("date", "city", (upto - F.col("_n")).alias("_start"), upto.alias("_end"))
+    keys = {row["_rank"]: (row["date"], row["city"]) for row in _at_ranks(cities, ranks)}
+    return [keys[r] for r in sorted(keys)]
+
+
+def _date(value: datetime) -> Column:
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def _at_ranks(spans: DataFrame, ranks: Sequence[int]) -> list:
+    """Rows whose span holds a wanted rank: at most one per rank."""
+    rank = F.explode(F.array(*[F.lit(int(r)).cast("bigint") for r in ranks])).alias("_rank")
+    return spans.select("*", rank).where("_start <= _rank and _rank < _end").collect()
+
+
+def _total(dates: DataFrame) -> int:
+    return dates.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
 
 
 def holdout(df: DataFrame, test_frac: float = 0.2) -> DataFrame:
     """Add `split`: the first int(n * (1 - test_frac)) rows are 'train', the rest 'test'."""
-    n = df.count()
+    dates = date_counts(df)
+    n = _total(dates)
     cut = int(n * (1 - test_frac))
     if cut <= 0 or cut >= n:
         return df.withColumn("split", F.lit("train" if cut >= n else "test"))
-    (at,) = cut_points(df, [cut])
+    (at,) = cut_points(df, [cut], dates)
     return df.withColumn("split", F.when(before(at), "train").otherwise("test"))
 
 
+def tail_flag(df: DataFrame, share: float) -> Column:
+    """True for the last `share` of the rows."""
+    dates = date_counts(df)
+    cuts = cut_points(df, [int(_total(dates) * (1 - share))], dates)
+    return ~before(cuts[0]) if cuts else F.lit(False)
+
+
 def fold_starts(n: int, n_splits: int = 5) -> list[int]:
     """First test rank of each expanding fold."""
     size = n // (n_splits + 1)
@@ -86,7 +104,8 @@ def blocks(df: DataFrame, n_splits: int = 5) -> DataFrame:
     Fold i tests on block i and trains on every block before it, so one column
     describes all folds and no row is copied.
     """
-    cuts = cut_points(df, fold_starts(df.count(), n_splits))
+    dates = date_counts(df)
+    cuts = cut_points(df, fold_starts(_total(dates), n_splits), dates)
     block = F.lit(0)
     for cut in cuts:
         block = block + F.when(before(cut), 0).otherwise(1)
@@ -97,18 +116,17 @@ def fold(blocked: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
     return blocked.where(F.col("block") < number), blocked.where(F.col("block") == number)
 
 
-def fold_table(blocked: DataFrame) -> DataFrame:
+def fold_table(blocked: DataFrame, n_splits: int = 5) -> DataFrame:
     """(fold, split, n, first_date, last_date), from one count per block."""
     per_block = blocked.groupBy("block").agg(
         F.count("*").alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date")
     )
-    tests = per_block.where("block > 0").select("*", F.col("block").alias("fold"), F.lit("test").alias("split"))
-    last = blocked.agg(F.max("block").alias("_last"))
-    trains = per_block.join(F.broadcast(last), F.col("block") < F.col("_last")).select(
-        "block", "n", "first_date", "last_date",
-        F.explode(F.sequence(F.col("block") + 1, F.col("_last"))).alias("fold"), F.lit("train").alias("split"),
+    # Block b is test in fold b and train in every later fold.
+    folds = F.sequence(F.greatest(F.col("block"), F.lit(1)), F.lit(n_splits))
+    roles = per_block.withColumn("fold", F.explode(folds)).withColumn(
+        "split", F.when(F.col("block") == F.col("fold"), "test").otherwise("train")
     )
-    return tests.unionByName(trains).groupBy("fold", "split").agg(
+    return roles.groupBy("fold", "split").agg(
         F.sum("n").alias("n"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date")
     )
 
