@@ -23,15 +23,18 @@ def local_session(cores: str = "*", name: str = "hazeline", shuffle_partitions:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: `spark.checkpoint.dir`, set here only where it is unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder all executors can reach: `spark.checkpoint.dir` of the session.
+
+    Only a local session without that setting gets a temporary folder.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="hazeline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="hazeline-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
