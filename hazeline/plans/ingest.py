@@ -39,7 +39,15 @@ def refresh_range(today: date, lookback_days: int = LOOKBACK_DAYS) -> tuple[str,
 
 def refresh(
     weather: DataFrame, air: DataFrame, table: FeatureTable, today: date, lookback_days: int = LOOKBACK_DAYS,
-    horizon: int = FORECAST_HORIZON,
+    horizon: int = FORECAST_HORIZON, warmup_days: int = 0,
 ) -> FeatureTable:
+    """Recompute the trailing days and upsert the complete ones.
+
+    Without warm-up, only rows two weeks into the range are complete, so targets
+    that have become known since are filled for those alone. `warmup_days` reads
+    that much further back and refreshes the whole range.
+    """
     start, end = refresh_range(today, lookback_days)
-    return backfill(weather, air, table, start, end, horizon)
+    first = str(date.fromisoformat(start) - timedelta(days=warmup_days))
+    table.upsert(between_days(engineered_rows(weather, air, first, end, horizon), start, end))
+    return table

@@ -42,7 +42,7 @@ def to_spark(spark, frame: pd.DataFrame):
     """Rows with NaN as null, as an ingested panel has them."""
     names = [f.name for f in RAW_SCHEMA.fields if f.name != "date"]
     values = frame[names].astype(object).where(frame[names].notna(), None)
-    rows = zip(frame["date"].map(pd.Timestamp.to_pydatetime).astype(object), *(values[c] for c in names))
+    rows = zip([d.to_pydatetime() for d in frame["date"]], *(values[c] for c in names))
     return spark.createDataFrame([tuple(r) for r in rows], RAW_SCHEMA)
 
 
