@@ -16,7 +16,7 @@ from hazeline.operators import quality
 from hazeline.operators.forecast import history
 from hazeline.plans.ingest import backfill, refresh
 from hazeline.schema import AIR_VARIABLES, FEATURE_SCHEMA, MEASURES, RAW_COLUMNS, RAW_SCHEMA, WEATHER_VARIABLES
-from hazeline.session import scratch_path
+from hazeline.session import scratch_path, written
 from hazeline.sources.cities import locate, unknown_cities
 from hazeline.sources.feature_table import FeatureTable, training_snapshot
 from hazeline.sources.files import merge_readings, read_csv, write_csv
@@ -250,7 +250,7 @@ _shift_rows = "\nunion all ".join(
 
 def then_and_now(spark, sf_dir):
     """Reference days, and recent days with two columns moved."""
-    rows, cut = panel(spark, sf_dir), F.lit("2024-01-25").cast("timestamp_ntz")
+    rows, cut = written(panel(spark, sf_dir), "panel"), F.lit("2024-01-25").cast("timestamp_ntz")
     moved = {"uv_index": F.col("uv_index") + 100, "rain": F.col("rain") * 1.5}
     return rows.where(F.col("date") < cut), rows.where(F.col("date") >= cut).withColumns(moved)
 

@@ -189,7 +189,7 @@ byvalue as (select cnt."column", sqrt(sum(r * (value - mu) ** 2) / max(n)) as st
 
 
 def distances(spark, sf_dir):
-    return drift.column_distances(*(written(side, "side") for side in then_and_now(spark, sf_dir)), MEASURES)
+    return drift.column_distances(*then_and_now(spark, sf_dir), MEASURES)
 
 
 @query("drift_ks", _sides + f"""
@@ -234,7 +234,7 @@ verdict as (select kp."column", case when k <= 5 then 'jensen_shannon' else 'was
 
 
 def verdicts(spark, sf_dir):
-    return drift.column_drift(*(written(side, "side") for side in then_and_now(spark, sf_dir)), MEASURES)
+    return drift.column_drift(*then_and_now(spark, sf_dir), MEASURES)
 
 
 @query("drift_columns_tested", _verdicts + f"""

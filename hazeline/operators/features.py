@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hazeline.functions.calendar import calendar_columns, cycle_columns
 from hazeline.functions.measures import ratio_columns, wind_columns
-from hazeline.operators.series import CHUNK_WEEKS, along_series
+from hazeline.operators.series import CHUNK_ROWS, along_series
 from hazeline.schema import EWM_SPAN, FEATURES, FORECAST_HORIZON, LAG_HOURS, ROLLING_HOURS, WEEK_HOURS, targets
 
 AQI = "european_aqi"
@@ -99,12 +99,12 @@ def ewm_columns(w: WindowSpec) -> dict[str, Column]:
 EWM_HELPERS = ["_position", "_straddles", "_weight_a", "_weight_b", "_weighted_a", "_weighted_b"]
 
 
-def add_ewm(df: DataFrame, chunk_weeks: int | None = CHUNK_WEEKS) -> DataFrame:
-    return along_series(df, row_positions, ewm_weights, ewm_columns, back=EWM_ROWS - 1, chunk_weeks=chunk_weeks).drop(*EWM_HELPERS)
+def add_ewm(df: DataFrame, chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
+    return along_series(df, row_positions, ewm_weights, ewm_columns, back=EWM_ROWS - 1, chunk_rows=chunk_rows).drop(*EWM_HELPERS)
 
 
 def add_features(
-    df: DataFrame, horizon: int = FORECAST_HORIZON, chunk_weeks: int | None = CHUNK_WEEKS
+    df: DataFrame, horizon: int = FORECAST_HORIZON, chunk_rows: int | None = CHUNK_ROWS
 ) -> DataFrame:
     """Raw panel in, 31 features and `horizon` targets added.
 
@@ -120,7 +120,7 @@ def add_features(
 
     # Row-wise columns come last: they would only widen the shuffle.
     windowed = along_series(
-        df, row_positions, ewm_weights, frames, back=WARMUP_ROWS, ahead=24 * horizon, chunk_weeks=chunk_weeks
+        df, row_positions, ewm_weights, frames, back=WARMUP_ROWS, ahead=24 * horizon, chunk_rows=chunk_rows
     )
     return windowed.withColumns(row_wise).select(*df.columns, *FEATURES, *targets(horizon))
 

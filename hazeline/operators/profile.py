@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from hazeline.functions.measures import clip_upper
 from hazeline.operators.quantiles import exact_quantiles
-from hazeline.operators.series import CHUNK_WEEKS, along_series
+from hazeline.operators.series import CHUNK_ROWS, along_series
 from hazeline.schema import CAPPED_COLUMNS, HISTOGRAM_COLUMNS, KEYS, targets
 
 
@@ -186,7 +186,7 @@ def redundant_pairs(df: DataFrame, columns: Sequence[str] | None = None, limit:
 
 
 def autocorrelation(
-    df: DataFrame, lags: int = 72, value: str = "european_aqi", chunk_weeks: int | None = CHUNK_WEEKS
+    df: DataFrame, lags: int = 72, value: str = "european_aqi", chunk_rows: int | None = CHUNK_ROWS
 ) -> DataFrame:
     """(city, lag, acf) with divisor n, nulls dropped first."""
     series = df.select("city", "date", F.col(value).alias("_x")).where("_x is not null")
@@ -194,7 +194,7 @@ def autocorrelation(
     centred = series.join(means, "city").select("city", "date", (F.col("_x") - F.col("_mean")).alias("_d"))
     shifted = along_series(
         centred, lambda w: {f"_lag{k}": F.lag("_d", k).over(w) for k in range(1, lags + 1)},
-        back=lags, chunk_weeks=chunk_weeks,
+        back=lags, chunk_rows=chunk_rows,
     )
     sums = shifted.groupBy("city").agg(
         F.sum(F.col("_d") * F.col("_d")).alias("_s0"),

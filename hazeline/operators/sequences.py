@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.operators.series import CHUNK_WEEKS, along_series
+from hazeline.operators.series import CHUNK_ROWS, along_series
 from hazeline.schema import SEQUENCE_LENGTH
 
 
@@ -18,7 +18,7 @@ def sequence_windows(
     length: int = SEQUENCE_LENGTH,
     target_offset: int = 0,
     keys: Sequence[str] = ("city", "split"),
-    chunk_weeks: int | None = CHUNK_WEEKS,
+    chunk_rows: int | None = CHUNK_ROWS,
 ) -> DataFrame:
     """Per row with `length - 1` rows before it, the `length x features` matrix as `sequence`.
 
@@ -34,7 +34,7 @@ def sequence_windows(
         return out
 
     framed = along_series(
-        df, frames, keys=keys, back=length - 1, ahead=target_offset, chunk_weeks=chunk_weeks
+        df, frames, keys=keys, back=length - 1, ahead=target_offset, chunk_rows=chunk_rows
     ).where(F.size("sequence") == length)
     if target_offset:
         framed = framed.where("_target is not null").withColumn(target, F.col("_target")).drop("_target")

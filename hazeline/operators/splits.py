@@ -8,14 +8,12 @@ date part reaches the file scan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazeline.session import written
-
 Cut = tuple[datetime, str]
 
 
@@ -24,77 +22,74 @@ def before(cut: Cut) -> Column:
     return (F.col("date") < date) | ((F.col("date") == date) & (F.col("city") < city))
 
 
-def date_counts(df: DataFrame) -> DataFrame:
-    """Rows per date, stored: totals and cut dates are both read from it."""
-    return written(df.groupBy("date").agg(F.count("*").alias("_n")), "dates")
+Ranks = Callable[[Column], list[Column]]
 
 
-def cut_points(df: DataFrame, ranks: Sequence[int], dates: DataFrame | None = None) -> list[Cut]:
-    """Keys of the rows with the given 0-based ranks."""
-    dates = dates if dates is not None else date_counts(df)
-    monthly = dates.withColumn("_month", F.trunc("date", "month"))
+def cut_points(df: DataFrame, ranks: Ranks) -> list[Cut]:
+    """Keys of the rows at the 0-based ranks that `ranks` derives from the row count."""
+    dates = df.groupBy("date").agg(F.count("*").alias("_n")).withColumn("_month", F.trunc("date", "month"))
     # Running totals in two steps; only the handful of month totals shares a task.
-    so_far = Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
-    bases = monthly.groupBy("_month").agg(F.sum("_n").alias("_total")).select(
-        "_month", F.coalesce(F.sum("_total").over(so_far), F.lit(0)).alias("_base")
+    months = Window.orderBy("_month")
+    bases = dates.groupBy("_month").agg(F.sum("_n").alias("_total")).select(
+        "_month",
+        F.coalesce(F.sum("_total").over(months.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"),
+        F.sum("_total").over(months.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"),
     )
     in_month = Window.partitionBy("_month").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    running = monthly.withColumn("_run", F.sum("_n").over(in_month)).join(bases, "_month")
+    running = dates.withColumn("_run", F.sum("_n").over(in_month)).join(bases, "_month")
     end = F.col("_base") + F.col("_run")
-    spans = running.select("date", (end - F.col("_n")).alias("_start"), end.alias("_end"))
-    found = _at_ranks(spans, ranks)
+    wanted = F.posexplode(F.array(*[r.cast("bigint") for r in ranks(F.col("_all"))])).alias("_cut", "_rank")
+    found = (
+        running.select("date", (end - F.col("_n")).alias("_start"), end.alias("_end"), wanted)
+        .where("_start <= _rank and _rank < _end").collect()  # one row per cut
+    )
     if not found:
         return []
     # On a cut's own date, cities decide. Counts per city first: copies of a key collapse map-side.
     days = {row["date"] for row in found}
     on_day = df.where(F.col("date").isin([_date(d) for d in days])).groupBy("date", "city").agg(F.count("*").alias("_n"))
     by_city = Window.partitionBy("date").orderBy("city").rowsBetween(Window.unboundedPreceding, 0)
-    base = F.element_at(
-        F.create_map(*[x for row in found for x in (_date(row["date"]), F.lit(row["_start"]))]), F.col("date")
-    )
-    upto = base + F.sum("_n").over(by_city)
+    upto = F.sum("_n").over(by_city)
     cities = on_day.select("date", "city", (upto - F.col("_n")).alias("_start"), upto.alias("_end"))
-    keys = {row["_rank"]: (row["date"], row["city"]) for row in _at_ranks(cities, ranks)}
-    return [keys[r] for r in sorted(keys)]
+    hit = [
+        F.when((F.col("date") == _date(r["date"])) & (F.col("_start") <= r["_rank"] - r["_start"])
+               & (F.lit(r["_rank"] - r["_start"]) < F.col("_end")), F.lit(r["_cut"]))
+        for r in found
+    ]
+    cuts = F.array_compact(F.array(*hit))
+    keys = {
+        row["_cut"]: (row["date"], row["city"])
+        for row in cities.select("date", "city", F.explode(cuts).alias("_cut")).collect()  # one row per cut
+    }
+    return [keys[i] for i in sorted(keys)]
 
 
 def _date(value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _at_ranks(spans: DataFrame, ranks: Sequence[int]) -> list:
-    """Rows whose span holds a wanted rank: at most one per rank."""
-    rank = F.explode(F.array(*[F.lit(int(r)).cast("bigint") for r in ranks])).alias("_rank")
-    return spans.select("*", rank).where("_start <= _rank and _rank < _end").collect()
-
-
-def _total(dates: DataFrame) -> int:
-    return dates.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+def _size(n: Column, share: float) -> Column:
+    """int(n * (1 - share)), the length of the first part."""
+    return F.floor(n * (1 - share))
 
 
 def holdout(df: DataFrame, test_frac: float = 0.2) -> DataFrame:
     """Add `split`: the first int(n * (1 - test_frac)) rows are 'train', the rest 'test'."""
-    dates = date_counts(df)
-    n = _total(dates)
-    cut = int(n * (1 - test_frac))
-    if cut <= 0 or cut >= n:
-        return df.withColumn("split", F.lit("train" if cut >= n else "test"))
-    (at,) = cut_points(df, [cut], dates)
-    return df.withColumn("split", F.when(before(at), "train").otherwise("test"))
+    cuts = cut_points(df, lambda n: [_size(n, test_frac)])
+    if not cuts:  # the cut lies behind the last row
+        return df.withColumn("split", F.lit("train"))
+    return df.withColumn("split", F.when(before(cuts[0]), "train").otherwise("test"))
 
 
 def tail_flag(df: DataFrame, share: float) -> Column:
     """True for the last `share` of the rows."""
-    dates = date_counts(df)
-    cuts = cut_points(df, [int(_total(dates) * (1 - share))], dates)
+    cuts = cut_points(df, lambda n: [_size(n, share)])
     return ~before(cuts[0]) if cuts else F.lit(False)
 
 
-def fold_starts(n: int, n_splits: int = 5) -> list[int]:
-    """First test rank of each expanding fold."""
-    size = n // (n_splits + 1)
-    if size == 0:
-        raise ValueError(f"Cannot make {n_splits} folds from {n} rows")
+def fold_starts(n: Column, n_splits: int = 5) -> list[Column]:
+    """First test rank of each expanding fold; the test parts hold n // (n_splits + 1) rows each."""
+    size = F.floor(n / (n_splits + 1))
     return [n - (n_splits - i) * size for i in range(n_splits)]
 
 
@@ -104,8 +99,9 @@ def blocks(df: DataFrame, n_splits: int = 5) -> DataFrame:
     Fold i tests on block i and trains on every block before it, so one column
     describes all folds and no row is copied.
     """
-    dates = date_counts(df)
-    cuts = cut_points(df, fold_starts(_total(dates), n_splits), dates)
+    cuts = cut_points(df, lambda n: fold_starts(n, n_splits))
+    if len(cuts) < n_splits:
+        raise ValueError(f"Too few rows for {n_splits} folds")
     block = F.lit(0)
     for cut in cuts:
         block = block + F.when(before(cut), 0).otherwise(1)

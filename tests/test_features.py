@@ -41,9 +41,9 @@ def holed():
     return raw[rng.random(len(raw)) > 0.02].reset_index(drop=True)
 
 
-@pytest.mark.parametrize("chunk_weeks", [None, 1, 3, 200])
-def test_windows_equal_pandas_with_nulls_and_gaps(spark, holed, chunk_weeks):
-    got = sorted_pandas(ft.add_features(to_spark(spark, holed), chunk_weeks=chunk_weeks))
+@pytest.mark.parametrize("chunk_rows", [None, 168, 500, 33600])
+def test_windows_equal_pandas_with_nulls_and_gaps(spark, holed, chunk_rows):
+    got = sorted_pandas(ft.add_features(to_spark(spark, holed), chunk_rows=chunk_rows))
     want = pandas_features(holed)
     for c in [*[f for f in FEATURES if f.startswith(("aqi", "temp", "rain"))], *targets()]:
         np.testing.assert_allclose(got[c].astype(float), want[c], rtol=1e-9, atol=1e-9, err_msg=c)
@@ -52,14 +52,32 @@ def test_windows_equal_pandas_with_nulls_and_gaps(spark, holed, chunk_weeks):
 def test_sparse_series_reaches_over_several_chunks(spark):
     raw = raw_pandas(rows=500)
     raw["date"] = raw["date"].min() + (raw["date"] - raw["date"].min()) * 40  # a row every 40 hours
-    got = sorted_pandas(ft.add_features(to_spark(spark, raw), chunk_weeks=1))
+    got = sorted_pandas(ft.add_features(to_spark(spark, raw), chunk_rows=168))
     want = pandas_features(raw)
     for c in ("temp_trend_7d", "aqi_lag_24h", "aqi_ewm_6h", "aqi_next_3d"):
         np.testing.assert_allclose(got[c].astype(float), want[c], rtol=1e-9, err_msg=c)
 
 
+@pytest.mark.parametrize("chunk_rows", [2000, 300, 60])
+def test_dense_series_is_cut_finer(spark, chunk_rows):
+    """One city reads every minute and holds most rows; the other reads hourly."""
+    raw = raw_pandas(rows=3000)
+    start = raw["date"].min()
+    dense = raw.city == "Lahore"
+    raw.loc[dense, "date"] = start + (raw.loc[dense, "date"] - start) / 60
+    df = to_spark(spark, raw[~((raw.city == "Karachi") & (raw.index % 3000 > 900))])
+    got = sorted_pandas(ft.add_features(df, chunk_rows=chunk_rows))
+    want = sorted_pandas(ft.add_features(df, chunk_rows=None))
+    for c in ("temp_trend_7d", "rain_accum_7d", "aqi_lag_24h", "aqi_ewm_6h", "aqi_roll_std_24h", "aqi_next_3d"):
+        np.testing.assert_allclose(got[c].astype(float), want[c].astype(float), rtol=1e-9, atol=1e-9, err_msg=c)
+    from hazeline.operators.series import with_chunks
+
+    sizes = with_chunks(df, ["city"], "date", 0, 0, chunk_rows).groupBy("city", "_chunk").count()
+    assert sizes.where("city = 'Lahore'").agg({"count": "max"}).first()[0] <= chunk_rows * 1.5
+
+
 def test_chunks_do_not_repeat_or_lose_rows(spark, raw_df):
-    out = along_series(raw_df, lambda w: ft.lag_columns(w), back=24, ahead=30, chunk_weeks=1)
+    out = along_series(raw_df, lambda w: ft.lag_columns(w), back=24, ahead=30, chunk_rows=168)
     assert out.count() == raw_df.count() == out.select("city", "date").distinct().count()
 
 

@@ -98,9 +98,9 @@ def test_correlation_equals_pandas(spark, raw):
     assert [(p["feature_a"], p["feature_b"]) for p in pairs] == [("pm10", "pm2_5")]
 
 
-@pytest.mark.parametrize("chunk_weeks", [None, 1])
-def test_autocorrelation(spark, raw, chunk_weeks):
-    got = profile.autocorrelation(to_spark(spark, raw), chunk_weeks=chunk_weeks).toPandas()
+@pytest.mark.parametrize("chunk_rows", [None, 168])
+def test_autocorrelation(spark, raw, chunk_rows):
+    got = profile.autocorrelation(to_spark(spark, raw), chunk_rows=chunk_rows).toPandas()
     for city, part in raw.groupby("city"):
         d = part.european_aqi.to_numpy() - part.european_aqi.mean()
         want = [(d[k:] * d[:len(d) - k]).sum() / (d * d).sum() for k in range(73)]

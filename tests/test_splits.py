@@ -64,14 +64,14 @@ def test_delta_target(engineered_df):
     assert complete_rows(engineered_df).count() > rows.count()
 
 
-@pytest.mark.parametrize("chunk_weeks", [None, 1])
-def test_sequences(raw_df, chunk_weeks):
+@pytest.mark.parametrize("chunk_rows", [None, 168])
+def test_sequences(raw_df, chunk_rows):
     rows = splits.holdout(raw_df, 0.3)
     features = ["european_aqi", "pm10"]
     flat = sorted_pandas(rows)
     for offset in (0, 1):
         got = sorted_pandas(sequence_windows(
-            rows.withColumn("y", F.col("ozone")), features, "y", target_offset=offset, chunk_weeks=chunk_weeks
+            rows.withColumn("y", F.col("ozone")), features, "y", target_offset=offset, chunk_rows=chunk_rows
         ))
         expected = 0
         for (city, split), part in flat.groupby(["city", "split"]):
