@@ -54,26 +54,27 @@ for _name, _parts in row_wise_queries.items():
     _register_row_wise(_name, *_parts)
 
 
-# name -> (column builder, check expressions, rows back, rows ahead)
+# name -> (stages, check expressions, rows back, rows ahead)
 window_queries = {
-    "f_lags": (ft.lag_columns, sql.LAGS, 24, 0),
-    "f_roll_mean": (ft.roll_mean_columns, sql.MEANS, 24, 0),
-    "f_roll_std": (ft.roll_std_columns, sql.STDS, 24, 0),
-    "f_temp_trend": (ft.temp_trend_columns, sql.TREND, ft.WARMUP_ROWS, 0),
-    "f_rain_accum": (ft.rain_columns, sql.RAIN, 167, 0),
-    "f_change": (ft.change_columns, sql.CHANGES, 25, 0),
-    "f_targets": (ft.target_columns, sql.TARGETS, 0, 72),
+    "f_lags": ([ft.lag_columns], sql.LAGS, 24, 0),
+    "f_roll_mean": ([ft.roll_mean_columns], sql.MEANS, 24, 0),
+    "f_roll_std": ([ft.roll_std_columns], sql.STDS, 24, 0),
+    "f_temp_trend": ([ft.day_parts("temperature_2m"), ft.temp_trend_columns], sql.TREND, ft.WARMUP_ROWS, 0),
+    "f_rain_accum": ([ft.day_parts("rain"), ft.rain_columns], sql.RAIN, 167, 0),
+    "f_change": ([ft.change_columns], sql.CHANGES, 25, 0),
+    "f_targets": ([ft.target_columns], sql.TARGETS, 0, 72),
     "rolling_7d": (
-        ft.weekly_mean_columns, {"aqi_mean_7d": sql.frame("avg", "european_aqi", "167 preceding", "current row", 168)},
+        [ft.day_parts("european_aqi"), ft.weekly_mean_columns],
+        {"aqi_mean_7d": sql.frame("avg", "european_aqi", "167 preceding", "current row", 168)},
         167, 0,
     ),
 }
 
 
-def _register_window(name, build, expressions, back, ahead):
+def _register_window(name, stages, expressions, back, ahead):
     def run(spark, sf_dir):
         df = panel(spark, sf_dir).select("city", "date", "european_aqi", "temperature_2m", "rain")
-        out = along_series(df, build, back=back, ahead=ahead)
+        out = along_series(df, *stages, back=back, ahead=ahead)
         return rounded(out, *expressions).select("city", "date", *expressions)
 
     query(name, sql.per_row(expressions))(run)

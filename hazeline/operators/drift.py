@@ -26,8 +26,7 @@ P_LIMIT = 0.05
 DISTANCE_LIMIT = 0.1
 MIN_DEVIATION = 0.001
 
-SLICES = 256
-SLICE_ABOVE = 1_000_000  # distinct values of one column
+SLICE_VALUES = 500_000  # distinct values one task puts in order
 
 
 def aligned_columns(reference: DataFrame, current: DataFrame) -> dict[str, list[str]]:
@@ -50,25 +49,25 @@ def value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str
     )
 
 
-def _with_slices(counts: DataFrame, slices: int | None) -> DataFrame:
-    if slices is None:
+def in_slices(counts: DataFrame, distinct: int, slice_values: int) -> DataFrame:
+    """Add `_slice`, a range of values of one column or of several.
+
+    Stored with its slice number, so that both uses see the same borders
+    whatever is recomputed.
+    """
+    if distinct <= slice_values:
         return counts.withColumn("_slice", F.lit(0))
-    marks = [i / slices for i in range(1, slices)]
-    # Written, so that both uses below see the same borders whatever is recomputed.
-    borders = written(
-        counts.groupBy("column").agg(F.percentile_approx("value", marks, 10 * slices).alias("_borders")), "slices"
-    )
-    below = F.size(F.filter("_borders", lambda b: b < F.col("value")))
-    return counts.join(F.broadcast(borders), "column").withColumn("_slice", below).drop("_borders")  # a row per column
+    parts = -(-distinct // slice_values)
+    ranges = counts.repartitionByRange(parts, "column", "value")
+    return written(ranges.withColumn("_slice", F.spark_partition_id()), "slices")
 
 
-def cumulative_gaps(counts: DataFrame, totals: DataFrame, slices: int | None) -> DataFrame:
+def cumulative_gaps(sliced: DataFrame, totals: DataFrame) -> DataFrame:
     """(column, gap, width): |F - G| at each value, and the distance to the next value."""
-    sliced = _with_slices(counts, slices)
     per_slice = sliced.groupBy("column", "_slice").agg(
         F.sum("ref").alias("_r"), F.sum("cur").alias("_c"), F.min("value").alias("_first")
     )
-    along = Window.partitionBy("column").orderBy("_slice")  # at most SLICES rows per column
+    along = Window.partitionBy("column").orderBy("_slice")  # one row per slice
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     bases = per_slice.select(
         "column", "_slice",
@@ -94,7 +93,7 @@ def cumulative_gaps(counts: DataFrame, totals: DataFrame, slices: int | None) ->
 
 def column_distances(
     reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None,
-    slices: int = SLICES, slice_above: int = SLICE_ABOVE,
+    slice_values: int = SLICE_VALUES,
 ) -> DataFrame:
     """One row per shared column with every statistic the tests choose from."""
     columns = list(columns or aligned_columns(reference, current)["shared"])
@@ -109,8 +108,8 @@ def column_distances(
         ).where("n_ref > 0 and n_cur > 0"),
         "value-totals",
     )
-    widest = totals.agg(F.max("all_values")).first()[0] or 0
-    gaps = cumulative_gaps(counts, totals, slices if widest > slice_above else None)
+    distinct = totals.agg(F.sum("all_values")).first()[0] or 0
+    gaps = cumulative_gaps(in_slices(counts, distinct, slice_values), totals)
     ordered = gaps.groupBy("column").agg(
         F.max("gap").alias("ks"), F.coalesce(F.sum(F.col("gap") * F.col("width")), F.lit(0.0)).alias("w1")
     )

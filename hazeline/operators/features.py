@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark import keyword_only
 from pyspark.ml import Transformer
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from hazeline.functions.calendar import calendar_columns, cycle_columns
 from hazeline.functions.measures import ratio_columns, wind_columns
-from hazeline.operators.series import CHUNK_ROWS, along_series
-from hazeline.schema import EWM_SPAN, FEATURES, FORECAST_HORIZON, LAG_HOURS, ROLLING_HOURS, WEEK_HOURS, targets
+from hazeline.operators.series import CHUNK_ROWS, Stage, along_series
+from hazeline.schema import DAY_HOURS, EWM_SPAN, FEATURES, FORECAST_HORIZON, LAG_HOURS, ROLLING_HOURS, WEEK_HOURS, targets
 
 AQI = "european_aqi"
 WARMUP_ROWS = 2 * WEEK_HOURS - 1  # rows before the first one that has every feature
@@ -39,16 +39,46 @@ def roll_std_columns(w: WindowSpec) -> dict[str, Column]:
     return {f"aqi_roll_std_{k}h": full(F.stddev_samp(AQI), AQI, w.rowsBetween(-k, -1), k) for k in ROLLING_HOURS}
 
 
+# Week-long frames are built from days: Spark walks a sliding frame again for
+# every row, so a sum over 24 rows in one stage and seven offset reads of it in
+# the next replace 168 updates per row by 24, and nothing is ever subtracted.
+
+def day_parts(*columns: str) -> Stage:
+    def stage(w: WindowSpec) -> dict[str, Column]:
+        day = w.rowsBetween(1 - DAY_HOURS, 0)
+        out = {}
+        for c in columns:
+            out[f"_{c}_sum"] = F.sum(c).over(day)
+            out[f"_{c}_n"] = F.count(c).over(day)
+        return out
+
+    return stage
+
+
+def behind(column: str, rows: int, w: WindowSpec) -> Column:
+    return F.coalesce(F.lag(column, rows).over(w) if rows else F.col(column), F.lit(0))
+
+
+def week_total(column: str, w: WindowSpec, weeks_back: int = 0) -> Column:
+    """Sum over 168 rows, where all of them have a value."""
+    end = weeks_back * WEEK_HOURS
+    days = range(end, end + WEEK_HOURS, DAY_HOURS)
+    present = reduce(add, [behind(f"_{column}_n", k, w) for k in days])
+    return F.when(present == WEEK_HOURS, reduce(add, [behind(f"_{column}_sum", k, w) for k in days]))
+
+
 def temp_trend_columns(w: WindowSpec) -> dict[str, Column]:
-    """Weekly mean now less the weekly mean a week ago, as two frames of one window."""
-    week, column = WEEK_HOURS, "temperature_2m"
-    now = full(F.avg(column), column, w.rowsBetween(1 - week, 0), week)
-    then = full(F.avg(column), column, w.rowsBetween(1 - 2 * week, -week), week)
+    """Weekly mean now less the weekly mean a week ago."""
+    now, then = (week_total("temperature_2m", w, back) / WEEK_HOURS for back in (0, 1))
     return {"temp_trend_7d": now - then}
 
 
 def rain_columns(w: WindowSpec) -> dict[str, Column]:
-    return {"rain_accum_7d": full(F.sum("rain"), "rain", w.rowsBetween(1 - WEEK_HOURS, 0), WEEK_HOURS)}
+    return {"rain_accum_7d": week_total("rain", w)}
+
+
+def weekly_mean_columns(w: WindowSpec) -> dict[str, Column]:
+    return {"aqi_mean_7d": week_total(AQI, w) / WEEK_HOURS}
 
 
 def change_columns(w: WindowSpec) -> dict[str, Column]:
@@ -59,48 +89,34 @@ def target_columns(w: WindowSpec, horizon: int = FORECAST_HORIZON) -> dict[str,
     return {name: F.lead(AQI, 24 * day).over(w) for day, name in enumerate(targets(horizon), start=1)}
 
 
-def weekly_mean_columns(w: WindowSpec) -> dict[str, Column]:
-    return {"aqi_mean_7d": full(F.avg(AQI), AQI, w.rowsBetween(1 - WEEK_HOURS, 0), WEEK_HOURS)}
-
-
-# Exponentially weighted mean. The average over the past with weights
-# decay^age equals sum(x * growth^i) / sum(growth^i) with growth = 1/decay and i
-# the row position: the common factor cancels. So it needs only sums over a
-# bounded frame and no list per row. Positions count modulo EWM_CYCLE to stay
-# inside double range; a second count, half a cycle off, serves the rows whose
-# frame straddles the first one's wrap.
+# Exponentially weighted mean: sum(decay^age * x) / sum(decay^age) over the rows
+# with a value. Both sums are built in two steps like the weeks above: 11 rows
+# by offset reads, then 10 such parts, each decayed by its age.
 EWM_DECAY = 1 - 2 / (EWM_SPAN + 1)
-EWM_ROWS = 112  # decay^112 is below half a unit in the last place
-EWM_CYCLE = 1024
+EWM_PART, EWM_PARTS = 11, 10
+EWM_ROWS = EWM_PART * EWM_PARTS  # decay^110 is below half a unit in the last place
 
 
-def row_positions(w: WindowSpec) -> dict[str, Column]:
-    return {"_position": F.row_number().over(w) - 1}
-
-
-def ewm_weights(_: WindowSpec) -> dict[str, Column]:
-    position = F.col("_position")
-    out = {"_straddles": position % EWM_CYCLE < EWM_ROWS - 1}
-    for tag, shift in (("a", 0), ("b", EWM_CYCLE // 2)):
-        weight = F.pow(F.lit(1 / EWM_DECAY), (position + shift) % EWM_CYCLE)
-        out[f"_weight_{tag}"] = F.when(F.col(AQI).isNotNull(), weight)
-        out[f"_weighted_{tag}"] = F.col(AQI) * weight
-    return out
+def ewm_parts(w: WindowSpec) -> dict[str, Column]:
+    past = [(EWM_DECAY ** k, F.lag(AQI, k).over(w) if k else F.col(AQI)) for k in range(EWM_PART)]
+    return {
+        "_ewm_sum": reduce(add, [F.coalesce(x * weight, F.lit(0.0)) for weight, x in past]),
+        "_ewm_weight": reduce(add, [F.when(x.isNotNull(), weight).otherwise(0.0) for weight, x in past]),
+    }
 
 
 def ewm_columns(w: WindowSpec) -> dict[str, Column]:
-    frame = w.rowsBetween(1 - EWM_ROWS, 0)
-    a, b = (
-        F.try_divide(F.sum(f"_weighted_{tag}").over(frame), F.sum(f"_weight_{tag}").over(frame)) for tag in ("a", "b")
-    )
-    return {"aqi_ewm_6h": F.when(F.col("_straddles"), b).otherwise(a)}
+    def total(column: str) -> Column:
+        parts = [behind(column, EWM_PART * k, w) * EWM_DECAY ** (EWM_PART * k) for k in range(EWM_PARTS)]
+        return reduce(add, parts)
 
-
-EWM_HELPERS = ["_position", "_straddles", "_weight_a", "_weight_b", "_weighted_a", "_weighted_b"]
+    weight = total("_ewm_weight")
+    return {"aqi_ewm_6h": F.when(weight > 0, total("_ewm_sum") / weight)}
 
 
 def add_ewm(df: DataFrame, chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
-    return along_series(df, row_positions, ewm_weights, ewm_columns, back=EWM_ROWS - 1, chunk_rows=chunk_rows).drop(*EWM_HELPERS)
+    out = along_series(df, ewm_parts, ewm_columns, back=EWM_ROWS - 1, chunk_rows=chunk_rows)
+    return out.select(*df.columns, "aqi_ewm_6h")
 
 
 def add_features(
@@ -108,10 +124,13 @@ def add_features(
 ) -> DataFrame:
     """Raw panel in, 31 features and `horizon` targets added.
 
-    All frames share one window spec, so the panel is shuffled and sorted once.
+    All frames share one partitioning and order, so the panel is shuffled and sorted once.
     """
     row_wise = {**calendar_columns(), **cycle_columns(), **wind_columns(), **ratio_columns()}
 
+    def parts(w: WindowSpec) -> dict[str, Column]:
+        return {**day_parts("temperature_2m", "rain")(w), **ewm_parts(w)}
+
     def frames(w: WindowSpec) -> dict[str, Column]:
         return {
             **temp_trend_columns(w), **rain_columns(w), **lag_columns(w), **roll_mean_columns(w),
@@ -119,9 +138,7 @@ def add_features(
         }
 
     # Row-wise columns come last: they would only widen the shuffle.
-    windowed = along_series(
-        df, row_positions, ewm_weights, frames, back=WARMUP_ROWS, ahead=24 * horizon, chunk_rows=chunk_rows
-    )
+    windowed = along_series(df, parts, frames, back=WARMUP_ROWS, ahead=24 * horizon, chunk_rows=chunk_rows)
     return windowed.withColumns(row_wise).select(*df.columns, *FEATURES, *targets(horizon))
 
 

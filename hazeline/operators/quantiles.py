@@ -9,6 +9,8 @@ Both passes combine map-side, so a group that holds all rows is no hot spot.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,22 +30,20 @@ def exact_quantiles(
     sketch = data.groupBy(*keys).agg(
         F.count("*").alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_edges")
     )
-    count = len(probs)
+    count = range(len(probs))
     brackets = written(
         sketch.select(
             *keys, "_n",
-            F.array(*[
-                F.struct(F.col("_edges")[i].alias("low"), F.col("_edges")[count + i].alias("high"))
-                for i in range(count)
-            ]).alias("_brackets"),
+            *[F.col("_edges")[i].alias(f"_low{i}") for i in count],
+            *[F.col("_edges")[len(probs) + i].alias(f"_high{i}") for i in count],
         ),
         "brackets",
     )
-    inside = F.exists("_brackets", lambda b: F.col("_v").between(b["low"], b["high"]))
+    inside = reduce(or_, [F.col("_v").between(F.col(f"_low{i}"), F.col(f"_high{i}")) for i in count])
+    below = reduce(add, [F.when(F.col(f"_high{i}") < F.col("_v"), 1).otherwise(0) for i in count])
     placed = data.join(brackets, list(keys)).select(
         *keys, "_n", "_v",
-        F.when(inside, F.col("_v")).alias("_exact"),
-        F.when(~inside, F.size(F.filter("_brackets", lambda b: b["high"] < F.col("_v")))).alias("_cell"),
+        F.when(inside, F.col("_v")).alias("_exact"), F.when(~inside, below).alias("_cell"),
     )
     # A cell between brackets is one row, however many values fall into it.
     cells = placed.groupBy(*keys, "_n", "_exact", "_cell").agg(

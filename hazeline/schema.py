@@ -42,6 +42,7 @@ AQI_BANDS = [
 # Feature windows, limits and thresholds.
 LAG_HOURS = [1, 3, 6, 24]
 ROLLING_HOURS = [4, 6, 12, 24]
+DAY_HOURS = 24
 WEEK_HOURS = 168
 EWM_SPAN = 6
 OZONE_FLOOR = 5.0
