@@ -345,7 +345,7 @@ def training_run(spark, sf_dir):
 
 @query("horizon_comparison")
 def horizon_comparison(spark, sf_dir):
-    scores, _ = training.run(complete_frame(spark, sf_dir), kinds=("linear", "random_forest"), settings=SMALL)
+    scores, _ = training.run(complete_frame(spark, sf_dir), kinds=("random_forest", "boosted"), settings=SMALL)
     return training.horizon_comparison(scores)
 
 

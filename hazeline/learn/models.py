@@ -27,7 +27,7 @@ MODELS = {
     "linear": {"alpha": 0.1},
     "random_forest": {"numTrees": 200, "maxDepth": 15, "minInstancesPerNode": 2, "seed": 42},
     "boosted": {"maxIter": 1000, "stepSize": 0.03, "maxDepth": 4, "subsamplingRate": 0.7,
-                "featureSubsetStrategy": "0.7", "seed": 42},
+                "featureSubsetStrategy": "0.7", "validationTol": 0.0, "seed": 42},
 }
 
 

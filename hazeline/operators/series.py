@@ -127,6 +127,8 @@ def along_series(
     Each stage maps a window spec to new columns and may use those of the stage
     before. `back` and `ahead` say how many rows the frames reach in total.
     `chunk_rows=None` always gives the plain one-task-per-series window.
+    Otherwise the keys and dates are counted first: pass a stored frame where
+    computing `df` is costly.
     """
     whole = chunk_rows is None or longest_series(df, keys) <= chunk_rows
     if whole:
