@@ -165,7 +165,7 @@ def incremental_features(spark, sf_dir):
     return feature_rows(table.read())
 
 
-@query("backfill_pipeline", sql.engineered() + "\n" + sql.feature_rows("complete"))
+@query("backfill_features", sql.engineered() + "\n" + sql.feature_rows("complete"))
 def backfill_rows(spark, sf_dir):
     table = feature_table(spark)
     backfill(weather(spark, sf_dir), air(spark, sf_dir), table, "2024-01-01", "2024-01-30")
