@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,18 +22,9 @@ def local_session(cores: str = "*", name: str = "hazeline", shuffle_partitions:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: `spark.checkpoint.dir` of the session.
-
-    Only a local session without that setting gets a temporary folder.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="hazeline-"))
-    return context.getCheckpointDir().rstrip("/")
+    """The folder all executors can reach: `spark.checkpoint.dir`, else a folder in the session's warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -51,3 +41,10 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table of the session. What was read from them can't be read again."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/hazeline")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
