@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from hazeline.llm import q_bpe, q_mixing
+from hazeline.llm import q_bpe, q_language, q_mixing
 
-QUERIES = {"op6_mixing": q_mixing.op6_mixing, "op9_bpe": q_bpe.op9_bpe}
+QUERIES = {
+    "op1_language": q_language.op1_language,
+    "op6_mixing": q_mixing.op6_mixing,
+    "op9_bpe": q_bpe.op9_bpe,
+}
 CHECKS = {"op6_mixing": q_mixing.SQL}
