@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazeline.llm.order import placed
 from hazeline.llm.text import word_count
 from hazeline.session import written
 
@@ -31,16 +32,6 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", word_count("text").alias("size"), point("doc_id", "text").alias("point"))
 
 
-def _ranked(sources: DataFrame) -> DataFrame:
-    """Adds `place`, from 0, by code point with null last. Sorted in ranges: no task sees all sources."""
-    inner = (1 << 33) - 1
-    runs = written(sources.orderBy(F.col("source").asc_nulls_last()).withColumn("at", F.monotonically_increasing_id()), "mix-order")
-    runs = runs.withColumn("run", F.shiftright("at", 33)).withColumn("inner", F.col("at").bitwiseAND(inner))
-    before = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = runs.groupBy("run").count().select("run", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
-    return runs.join(starts, "run").select("source", "source_size", (F.col("start") + F.col("inner")).alias("place"))
-
-
 def source_targets(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:
     """(source, source_size, target): words to take of each source.
 
@@ -49,7 +40,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), share:
     size 0 has target 0.
     """
     weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("place") % len(weights) + 1).cast("int"))
-    rows = _ranked(sizes).select("source", "source_size", weight.alias("weight"), (F.col("source_size") * cap).alias("most"))
+    rows = placed(sizes, F.col("source").asc_nulls_last(), label="mix-order").select("source", "source_size", weight.alias("weight"), (F.col("source_size") * cap).alias("most"))
     rows = written(rows, "mix-sources")
     total = rows.agg(F.sum("source_size")).first()[0] or 0
     limit = None  # a source is full once `limit` words per unit of weight would exceed what it may give

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from hazeline.llm import q_bpe, q_language, q_mixing
+from hazeline.llm import q_bpe, q_language, q_mixing, q_vectors
 
 QUERIES = {
     "op1_language": q_language.op1_language,
     "op6_mixing": q_mixing.op6_mixing,
     "op9_bpe": q_bpe.op9_bpe,
+    "op10_top_products": q_vectors.op10_top_products,
 }
-CHECKS = {"op6_mixing": q_mixing.SQL}
+CHECKS = {"op6_mixing": q_mixing.SQL, "op10_top_products": q_vectors.PRODUCTS}
