@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hazeline.llm.exact_search import top_products
+from hazeline.llm.hnsw import build_index, search_index
 from hazeline.llm.text import table
 
 PRODUCTS = """
@@ -24,3 +25,8 @@ where rank <= 5
 def op10_top_products(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return top_products(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+def op5_nearest(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return search_index(build_index(vectors), vectors.where("vec_id % 100 = 0"), 10)

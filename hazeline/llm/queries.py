@@ -6,6 +6,7 @@ from hazeline.llm import q_bpe, q_language, q_mixing, q_vectors
 
 QUERIES = {
     "op1_language": q_language.op1_language,
+    "op5_nearest": q_vectors.op5_nearest,
     "op6_mixing": q_mixing.op6_mixing,
     "op9_bpe": q_bpe.op9_bpe,
     "op10_top_products": q_vectors.op10_top_products,
