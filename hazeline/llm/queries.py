@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from hazeline.llm import q_bpe, q_language, q_mixing, q_vectors
+from hazeline.llm import q_bpe, q_language, q_mixing, q_pages, q_vectors
 
 QUERIES = {
     "op1_language": q_language.op1_language,
     "op5_nearest": q_vectors.op5_nearest,
     "op6_mixing": q_mixing.op6_mixing,
+    "op8_warc": q_pages.op8_warc,
     "op9_bpe": q_bpe.op9_bpe,
     "op10_top_products": q_vectors.op10_top_products,
 }
-CHECKS = {"op6_mixing": q_mixing.SQL, "op10_top_products": q_vectors.PRODUCTS}
+CHECKS = {"op6_mixing": q_mixing.SQL, "op8_warc": q_pages.ARCHIVED, "op10_top_products": q_vectors.PRODUCTS}
