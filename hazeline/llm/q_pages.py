@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hazeline.llm.extraction import extract
 from hazeline.llm.text import table
 from hazeline.llm.warc import archive
 
@@ -23,3 +24,7 @@ def op8_warc(spark, sf_dir):
     records = archive(table(spark, sf_dir, "pages"), "page_id", "url", "html")
     return records.select(
         F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op7_extraction(spark, sf_dir):
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))

@@ -8,6 +8,7 @@ QUERIES = {
     "op1_language": q_language.op1_language,
     "op5_nearest": q_vectors.op5_nearest,
     "op6_mixing": q_mixing.op6_mixing,
+    "op7_extraction": q_pages.op7_extraction,
     "op8_warc": q_pages.op8_warc,
     "op9_bpe": q_bpe.op9_bpe,
     "op10_top_products": q_vectors.op10_top_products,
