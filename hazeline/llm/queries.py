@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from hazeline.llm import q_bpe, q_language, q_mixing, q_pages, q_vectors
+from hazeline.llm import q_bpe, q_jaccard, q_language, q_mixing, q_pages, q_vectors
 
 QUERIES = {
     "op1_language": q_language.op1_language,
+    "op3_jaccard": q_jaccard.op3_jaccard,
     "op5_nearest": q_vectors.op5_nearest,
     "op6_mixing": q_mixing.op6_mixing,
     "op7_extraction": q_pages.op7_extraction,
@@ -13,4 +14,4 @@ QUERIES = {
     "op9_bpe": q_bpe.op9_bpe,
     "op10_top_products": q_vectors.op10_top_products,
 }
-CHECKS = {"op6_mixing": q_mixing.SQL, "op8_warc": q_pages.ARCHIVED, "op10_top_products": q_vectors.PRODUCTS}
+CHECKS = {"op3_jaccard": q_jaccard.SQL, "op6_mixing": q_mixing.SQL, "op8_warc": q_pages.ARCHIVED, "op10_top_products": q_vectors.PRODUCTS}
