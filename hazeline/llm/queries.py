@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from hazeline.llm import q_bpe, q_jaccard, q_language, q_mixing, q_pages, q_vectors
+from hazeline.llm import q_bpe, q_jaccard, q_language, q_mixing, q_pages, q_substrings, q_vectors
 
 QUERIES = {
     "op1_language": q_language.op1_language,
+    "op2_substrings": q_substrings.op2_substrings,
     "op3_jaccard": q_jaccard.op3_jaccard,
     "op5_nearest": q_vectors.op5_nearest,
     "op6_mixing": q_mixing.op6_mixing,
