@@ -7,7 +7,7 @@
    bounds the sizes of partners that can still be reached; lists are cut by size, so whole stretches are skipped.
 4. Answers are derived from similar sets: each list is first compared with one of its sets only. What is linked to the
    same sets is in one component and never compared again; lists that lie within one component are skipped as a whole.
-   When a round finds nothing new, the pairs that are left, between different components, are compared one by one.
+   When rounds of this find little more, the pairs left between different components are all compared.
 
 Shingles are known by 64-bit hashes, classes by 128 bits of a digest.
 """
@@ -31,6 +31,7 @@ WORDS = 5
 PERCENT = 75
 CHUNK_TOKENS = 1 << 21  # shingles that a task sorts at once
 RANGE_TOKENS = 1 << 22  # shingles, about, that one task of the count gets
+WORTH = 10  # rounds of comparisons with drawn sets end when one finds less than this part of the best
 SMALL_IDS = 4_000_000  # ids (32 MB) up to which a list of them is broadcast
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -237,59 +238,102 @@ def _bands(n: str) -> Column:
 def joined(sets: DataFrame) -> DataFrame:
     """(node, component) of all nodes with a link."""
     postings = _postings(sets).withColumn("component", F.col("node"))
-    spark = sets.sparkSession
-    links = written(spark.createDataFrame([], "a long, b long"), "jaccard-links")
-    labels, turn = None, 0
+    labels, turn, most = sets.select("node", F.col("node").alias("component")), 0, 0
     while True:
         turn += 1
-        # lists of more than one component, each compared with one set drawn from it
-        several = postings.groupBy("token").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"),
-            F.min(F.struct(F.xxhash64(F.col("node"), F.lit(turn)).alias("draw"), "node", "n", "at", "component")).alias("c")).where("low < high")
-        centres = several.select("token", F.col("c.node").alias("node"), F.col("c.n").alias("n"), F.col("c.at").alias("at"), F.col("c.component").alias("component"))
-        postings = written(postings.join(several.select("token"), "token", "left_semi"), "jaccard-lists") if turn > 1 else postings
-        near = postings.alias("x").join(centres.alias("y"), F.col("x.token") == F.col("y.token")).where((F.col("x.component") != F.col("y.component")) & _possible("x", "y"))
-        pairs = near.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+        pairs = _with_centres(postings, turn)
         found = written(_linked(pairs, sets), "jaccard-links")
-        if found.isEmpty():
+        links = found.count()
+        labels, postings = _merged(found, labels, postings) if links else (labels, postings)
+        most = max(most, links)
+        if links * WORTH <= most:
             break
-        links = links.unionByName(found)
-        labels = components(links)
-        postings = postings.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        postings = written(postings.select("token", "node", "n", "at", "component"), "jaccard-lists")
-    # what is left between components, list by list and band of sizes by band
-    x = postings.withColumn("band", _bands("n"))
+    found = written(_linked(_across(postings), sets), "jaccard-links")
+    return _merged(found, labels, postings)[0] if not found.isEmpty() else labels
+
+
+def _with_centres(postings: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each posting with one set of its list, drawn anew in each turn, of another component."""
+    drawn = F.min(F.struct(F.xxhash64(F.col("node"), F.lit(turn)).alias("draw"), "node", "n", "at", "component"))
+    several = postings.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), drawn.alias("c")).where("low < high")
+    centres = several.select("token", "c.node", "c.n", "c.at", "c.component")
+    near = postings.alias("x").join(centres.alias("y"), F.col("x.token") == F.col("y.token")).where((F.col("x.component") != F.col("y.component")) & _possible("x", "y"))
+    return near.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
+def _across(postings: DataFrame) -> DataFrame:
+    """All pairs (a, b) left between components, list by list and band of sizes by band."""
+    several = postings.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+    x = postings.join(several, "token", "left_semi").withColumn("band", _bands("n"))
     y = x.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
     near = x.alias("x").join(y.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band")))
     larger = (F.col("y.n") > F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.node") > F.col("x.node")))
     near = near.where((F.col("x.component") != F.col("y.component")) & larger & _possible("x", "y"))
-    pairs = near.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    found = written(_linked(pairs, sets), "jaccard-links")
-    if not found.isEmpty():
-        labels = components(links.unionByName(found))
-    return labels if labels is not None else spark.createDataFrame([], "node long, component long")
+    return near.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
-def similar_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id): the size of each document's set, and the smallest id reachable by links.
+def _merged(links: DataFrame, labels: DataFrame, postings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Labels and postings after these links; lists that lie within one component are skipped from now on."""
+    a = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    b = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    moved = components(links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    moved = moved.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    now = lambda rows: rows.join(moved, "component", "left").withColumn("component", F.coalesce("now", "component")).select(rows.columns)
+    labels, postings = written(now(labels), "jaccard-labels"), written(now(postings), "jaccard-lists")
+    several = postings.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("token")
+    return labels, written(postings.join(several, "token", "left_semi"), "jaccard-lists")
 
-    Two documents link if 100 * intersection >= 75 * union of their distinct five-word shingles; a text of fewer words is
-    one shingle. A null, empty or blank text has no shingle, no link, and its own id as component. A null id has no part
-    in the smallest id; a component of null ids has null. Repeated rows give repeated rows, an empty table an empty
-    result. Columns other than doc_id and text are not looked at.
-    """
+
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, hi, lo, words) of each document; (hi, n) of each class; (hi, lo, first, component, component_id) of each
+    class with words, `first` its smallest id, `component` null if it has no link."""
     every = written(classes(docs), "jaccard-classes")
     tokens = every.agg(F.sum("words")).first()[0] or 0
     counts = written(shared_counts(docs, tokens), "jaccard-counts")
     missing = F.col("n") - F.ceil(F.col("n") * PERCENT / 100)  # shingles that a partner may lack
     sets = sets_of(docs, counts.where(F.col("shared") >= F.col("half") - missing).select("hi"))
-    labels = joined(sets)
+    named = joined(sets).join(sets.select("node", "hi", "lo"), "node").select("hi", "lo", "component")
     firsts = every.where("words > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("first"))
-    named = sets.join(labels, "node").select("hi", "lo", "component")
     firsts = written(firsts.join(named, ["hi", "lo"], "left"), "jaccard-firsts")
     least = firsts.where("component is not null").groupBy("component").agg(F.min("first").alias("least"))
-    found = firsts.join(least, "component", "left").select("hi", "lo", F.coalesce("least", "first").alias("component_id"))
-    rows = every.join(counts.select("hi", "n"), "hi", "left").join(found, ["hi", "lo"], "left")
+    found = firsts.join(least, "component", "left").select("hi", "lo", "first", "component", F.when(F.col("component").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"))
+    return every, counts.select("hi", "n"), found
+
+
+def similar_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id): the size of each document's set, and the smallest id reachable by links.
+
+    Two documents link if 100 * intersection >= 75 * union of their distinct five-word shingles; a text of fewer words is
+    one shingle. A null, empty or blank text has no shingle, no link, and its own id as component. A null id has no part
+    in the smallest id; a component of null ids has null. Repeated rows give repeated rows, an empty table an empty
+    result. Columns other than doc_id and text are not looked at.
+    """
+    every, sizes, found = _grouped(docs.select("doc_id", "text"))
+    rows = every.join(sizes, "hi", "left").join(found.select("hi", "lo", "component_id"), ["hi", "lo"], "left")
     return rows.select(
         "doc_id", F.when(F.col("words") > 0, F.col("n")).otherwise(F.lit(0)).cast("long").alias("n_shingles"),
         F.when(F.col("words") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The document of smallest id of each component, as in `similar_groups`, with all columns of `docs`.
+
+    Texts without words are all kept. Of rows with that id and the same words, or of null ids only, one is kept.
+    """
+    _, _, found = _grouped(docs.select("doc_id", "text"))
+    place = F.struct(F.col("first").isNull().alias("none"), "first", "hi", "lo")
+    linked = found.where("component is not null").groupBy("component").agg(F.min(place).alias("p")).select("p.hi", "p.lo", "p.first")
+    winners = written(found.where("component is null").select("hi", "lo", "first").unionByName(linked), "jaccard-winners").alias("w")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
+    kind = dict(rows.dtypes)["row"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [words_of(x.as_py()) for x in batch.column(1)]
+            keys = [class_of(x) for x in words]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([bool(x) for x in words])], ["row", "hi", "lo", "said"])
+
+    keyed = rows.mapInArrow(run, f"row {kind}, hi long, lo long, said boolean").alias("d")
+    ours = keyed.where("said").join(winners, (F.col("d.hi") == F.col("w.hi")) & (F.col("d.lo") == F.col("w.lo")) & F.col("d.row.doc_id").eqNullSafe(F.col("w.first")))
+    return ours.select("d.row", "d.hi", "d.lo").dropDuplicates(["hi", "lo"]).select("row").unionByName(keyed.where("not said").select("row")).select("row.*")
