@@ -316,6 +316,12 @@ def removed(docs: DataFrame, hot: int = HOT) -> DataFrame:
     return written(both, "repeats-spans")
 
 
+def whole_characters(kept: Column | str = "kept") -> Column:
+    """Kept bytes as text, without the rests of characters that a removed run began or ended in; replacement characters
+    go as well."""
+    return F.replace(F.make_valid_utf8(F.col(kept).cast("string")), F.lit("\ufffd"), F.lit(""))
+
+
 SPANS = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
 
 
