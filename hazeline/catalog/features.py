@@ -105,6 +105,36 @@ def complete(spark, sf_dir):
     )
 
 
+_nulls = """case when (date >= timestamp '2024-01-09 03:00:00' and date < timestamp '2024-01-16 00:00:00') then null else european_aqi end"""
+
+
+@query("f_ewm_nulls", PANEL_SQL + f""",
+n as (select city, date, {_nulls} as x, row_number() over (partition by city order by date) as k from panel),
+m as (select a.city, a.date, sum(pow(5e0 / 7, a.k - b.k) * b.x) / sum(pow(5e0 / 7, a.k - b.k)) as mean
+  from n a join n b on a.city = b.city and b.k <= a.k and b.x is not null group by a.city, a.date)
+select n.city, n.date, {s6('m.mean')} as aqi_ewm_6h from n left join m using (city, date)""")
+def f_ewm_nulls(spark, sf_dir):
+    """Readings missing for nearly a week: the mean is carried over them."""
+    missing = (F.col("date") >= F.lit("2024-01-09 03:00:00").cast("timestamp_ntz")) & (F.col("date") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    df = panel(spark, sf_dir).select("city", "date", F.when(~missing, F.col("european_aqi")).alias("european_aqi"))
+    out = ft.add_ewm(df, chunk_rows=168)
+    return out.select("city", "date", r6(F.col("aqi_ewm_6h")).alias("aqi_ewm_6h"))
+
+
+@query("hourly_grid_shifted", PANEL_SQL + f""",
+thin as (select * replace (case when city = 'Delhi' then date + interval 318 hour + interval 30 minute else date end as date)
+  from panel where day(date) % 2 = 0 or hour(date) not between 8 and 12),
+spans as (select city, lat, lon, min(date) as a, max(date) as b from thin group by city, lat, lon),
+hours as (select city, lat, lon, unnest(generate_series(a, b, interval 1 hour)) as date from spans)
+select h.city, h.date, {s6('t.european_aqi')} as european_aqi
+from hours h left join thin t on h.city = t.city and h.date = t.date""")
+def hourly_grid_shifted(spark, sf_dir):
+    """One station reads at half past, over the end of a month."""
+    moved = F.when(F.col("city") == "Delhi", F.col("date") + F.expr("interval 318 hours 30 minutes")).otherwise(F.col("date"))
+    thin = thinned(panel(spark, sf_dir)).withColumn("date", moved)
+    return ft.add_gap_free_hours(thin).select("city", "date", r6(F.col("european_aqi")).alias("european_aqi"))
+
+
 @query("hourly_grid", PANEL_SQL + f""",
 thin as (select * from panel where day(date) % 2 = 0 or hour(date) not between 8 and 12),
 spans as (select city, lat, lon, min(date) as a, max(date) as b from thin group by city, lat, lon),

@@ -266,10 +266,9 @@ every as (select city, 'current' as kind, 0 as day, current_aqi as value from gu
   union all select city, 'forecast', day, case when day = 2 then null else predicted_aqi end from guesses)
 select city, kind, day, {s6('value')} as value, {_band.format('value')} as label,
   case when kind = 'current'
-    then 'Current AQI in ' || city || ' is ' || printf('%.0f', value) || ' (' || {_band.format('value')}
-      || '), which exceeds the alert threshold of 40.'
-    else 'Forecast AQI for ' || city || ' in ' || day || ' day(s) is ' || printf('%.0f', value) || ' ('
-      || {_band.format('value')} || '), exceeding the threshold of 40.' end as message
+    then city || ': index ' || printf('%.0f', value) || ' now, ' || {_band.format('value')} || '; limit 40'
+    else city || ': index ' || printf('%.0f', value) || ' expected on day +' || day || ', ' || {_band.format('value')}
+      || '; limit 40' end as message
 from every where value > 40""")
 def aqi_alerts(spark, sf_dir):
     missing = F.when(F.col("day") != 2, F.col("predicted_aqi"))
@@ -284,8 +283,8 @@ def aqi_alerts(spark, sf_dir):
 decay as (select a.horizon, a.rmse, b.rmse as baseline_rmse, (a.rmse - b.rmse) / b.rmse * 100 as degradation
   from scored a join scored b on a.horizon = b.horizon and a.model = 'naive' and b.model = 'mean_day')
 select horizon, {sql.rounded('rmse', 'baseline_rmse', 'degradation')},
-  'Live RMSE for the ' || horizon || '-day model is ' || printf('%.2f', rmse) || ' (+' || printf('%.1f', degradation)
-    || '% above the baseline of ' || printf('%.2f', baseline_rmse) || ').' as message
+  'horizon ' || horizon || ': error ' || printf('%.2f', baseline_rmse) || ' -> ' || printf('%.2f', rmse) || ', up by percent '
+    || printf('%.1f', degradation) as message
 from decay where degradation > 20""")
 def model_decay(spark, sf_dir):
     scores = written(candidate_scores(spark, sf_dir), "scores")

@@ -95,6 +95,7 @@ def dirty_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ozone": F.when(hour == 5, -1 - F.col("ozone")).otherwise(F.col("ozone")),
         "rain": F.when((hour == 7) & (day % 3 != 0), F.lit(None).cast("double")).otherwise(F.col("rain")),
         "cloud_cover": F.when(hour.isin(1, 2), F.lit(None).cast("double")).otherwise(F.col("cloud_cover")),
+        "lat": F.when((hour != 15) | (day != 6), F.col("lat")),
         "european_aqi": F.when(hour == 9, F.col("european_aqi") + 490)
         .when((hour == 11) & (day == 4), F.lit(None).cast("double"))
         .when((hour == 13) & (day == 5), -F.col("european_aqi"))
@@ -139,6 +140,7 @@ select * replace (
   case when hour(date) = 5 then -1 - ozone else ozone end as ozone,
   case when hour(date) = 7 and day(date) % 3 <> 0 then null else rain end as rain,
   case when hour(date) in (1, 2) then null else cloud_cover end as cloud_cover,
+  case when hour(date) = 15 and day(date) = 6 then null else lat end as lat,
   case when hour(date) = 9 then european_aqi + 490
        when hour(date) = 11 and day(date) = 4 then null
        when hour(date) = 13 and day(date) = 5 then -european_aqi

@@ -131,11 +131,25 @@ def _correlation_sql(columns) -> str:
 e as (select *, row_number() over () as rid from eng),
 long as ({values}),
 pairs as (select a.name as feature_a, b.name as feature_b, a.pos as pa, b.pos as pb,
-    case when count(*) > 1 and var_pop(a.v) * count(*) > 1e-12 and var_pop(b.v) * count(*) > 1e-12
-      then corr(a.v, b.v) end as correlation
+    case when min(a.v) < max(a.v) and min(b.v) < max(b.v) then corr(a.v, b.v) end as correlation
   from long a join long b on a.rid = b.rid and a.pos <= b.pos group by 1, 2, 3, 4)"""
 
 
+@query("corr_scaled", PANEL_SQL + f"""
+select city, {s6('corr(pm10 * 1e-8, ozone * 1e8)')} as pm10_ozone, {s6('corr(pm10 * 1e-8, pm10 * 1e-8)')} as pm10_pm10 from panel group by city""")
+def corr_scaled(spark, sf_dir):
+    """Correlation does not depend on units."""
+    small = written(panel(spark, sf_dir).select("city", (F.col("pm10") * 1e-8).alias("pm10"), (F.col("ozone") * 1e8).alias("ozone")), "scaled")
+    cities = [r["city"] for r in small.select("city").distinct().collect()]  # the stations of the panel
+    out = None
+    for city in cities:
+        pairs = profile.correlations(small.where(F.col("city") == city), ["pm10", "ozone"])
+        cell = lambda a, b: F.max(F.when((F.col("feature_a") == a) & (F.col("feature_b") == b), F.col("correlation")))
+        row = pairs.agg(cell("pm10", "ozone").alias("pm10_ozone"), cell("pm10", "pm10").alias("pm10_pm10")).select(F.lit(city).alias("city"), "*")
+        out = row if out is None else out.unionByName(row)
+    return rounded(out, "pm10_ozone", "pm10_pm10")
+
+
 @query("corr_matrix", _correlation_sql(CORRELATED) + f"""
 select feature_a, feature_b, {s6('correlation')} as correlation from pairs""")
 def corr_matrix(spark, sf_dir):

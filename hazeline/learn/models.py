@@ -120,7 +120,7 @@ def fit(
 ) -> DeltaForecaster:
     """Fit one model kind on rows from `delta_target`."""
     if kind not in MODELS:
-        raise ValueError(f"Unknown model type {kind}")
+        raise ValueError(f"no model of kind {kind}; there are {sorted(MODELS)}")
     features = list(features or model_columns(train.drop("target")))
     settings = {**MODELS[kind], **(settings or {})}
     if kind == "linear":

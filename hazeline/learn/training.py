@@ -14,7 +14,8 @@ from hazeline.learn.validation import PARALLEL_FITS, scored_rows, union_all
 from hazeline.operators.metrics import score
 from hazeline.operators.splits import holdout
 from hazeline.operators.targets import delta_target
-from hazeline.sources.registry import ModelRegistry
+from hazeline.session import written
+from hazeline.sources.registry import ModelRegistry, next_versions
 
 log = logging.getLogger(__name__)
 
@@ -51,23 +52,27 @@ def run(
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
         predictions = [p for p in pool.map(one, jobs) if p is not None]
     if not predictions:
-        raise RuntimeError("no model could be trained")
+        raise RuntimeError("every fit failed")
     return score(union_all(predictions), ["model", "horizon"]), fitted
 
 
 def register(
     registry: ModelRegistry, metrics: DataFrame, fitted: dict[tuple[str, int], DeltaForecaster], model_root: str
 ) -> DataFrame:
-    """Save every fitted model and append its metrics under the next version of its name."""
-    for (kind, horizon), model in fitted.items():
-        model.save(f"{model_root}/aqi_{kind}_h{horizon}")
+    """Number each fitted model on from the versions of its name, save it under that number, then append the rows.
+
+    A version's files are its own: a later run never touches them.
+    """
     name = F.concat(F.lit("aqi_"), "model", F.lit("_h"), F.col("horizon").cast("string"))
     runs = metrics.select(
-        name.alias("name"), "horizon", "r2", "mae", "mse", "rmse", "skill_vs_naive",
-        F.concat(F.lit(f"{model_root}/"), name).alias("path"),
+        name.alias("name"), "model", "horizon", "r2", "mae", "mse", "rmse", "skill_vs_naive",
         F.current_timestamp().cast("timestamp_ntz").alias("created_at"),
     )
-    return registry.register(runs)
+    path = F.concat(F.lit(f"{model_root}/"), "name", F.lit("/v"), F.col("version").cast("string"))
+    numbered = written(next_versions(runs, registry.rows(), "created_at").withColumn("path", path), "versions")
+    for row in numbered.select("model", "horizon", "path").collect():  # one row per fitted model
+        fitted[row["model"], row["horizon"]].save(row["path"])
+    return registry.append(numbered)
 
 
 def horizon_comparison(metrics: DataFrame, horizons: Sequence[int] = (1, 2, 3)) -> DataFrame:

@@ -30,11 +30,10 @@ def aqi_alerts(readings: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataF
     limit = F.lit(f"{threshold:g}")
     message = F.when(
         F.col("kind") == "current",
-        F.concat(F.lit("Current AQI in "), "city", F.lit(" is "), shown, F.lit(" ("), label,
-                 F.lit("), which exceeds the alert threshold of "), limit, F.lit(".")),
+        F.concat("city", F.lit(": index "), shown, F.lit(" now, "), label, F.lit("; limit "), limit),
     ).otherwise(
-        F.concat(F.lit("Forecast AQI for "), "city", F.lit(" in "), F.col("day").cast("string"), F.lit(" day(s) is "),
-                 shown, F.lit(" ("), label, F.lit("), exceeding the threshold of "), limit, F.lit(".")),
+        F.concat("city", F.lit(": index "), shown, F.lit(" expected on day +"), F.col("day").cast("string"), F.lit(", "),
+                 label, F.lit("; limit "), limit),
     )
     return rows.select("city", "kind", "day", "value", label.alias("label"), message.alias("message"))
 
@@ -42,11 +41,8 @@ def aqi_alerts(readings: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataF
 def drift_alert(summary: DataFrame, city: str) -> DataFrame:
     """(city, kind, value, message) from a drift summary whose verdict is drift."""
     names = F.array_join("drifted_features", ", ")
-    listed = F.when(F.size("drifted_features") > 0, names).otherwise("none identified")
-    message = F.concat(
-        fixed(F.col("share_drifted") * 100, 1), F.lit(f"% of input features have drifted in {city}. Drifted columns: "),
-        listed,
-    )
+    listed = F.when(F.size("drifted_features") > 0, names).otherwise("-")
+    message = F.concat(F.lit(f"{city}: inputs drifted, share "), fixed(F.col("share_drifted"), 3), F.lit("; columns "), listed)
     return summary.where("dataset_drift").select(
         F.lit(city).alias("city"), F.lit("drift").alias("kind"), F.col("share_drifted").alias("value"),
         message.alias("message"),
@@ -59,8 +55,7 @@ def decay_alerts(live: DataFrame, baseline: DataFrame, by: str = "horizon",
     joined = live.select(by, "rmse").join(baseline.select(by, F.col("rmse").alias("baseline_rmse")), by)
     degradation = F.try_divide(F.col("rmse") - F.col("baseline_rmse"), F.col("baseline_rmse")) * 100
     message = F.concat(
-        F.lit("Live RMSE for the "), F.col(by).cast("string"), F.lit("-day model is "), fixed(F.col("rmse"), 2),
-        F.lit(" (+"), fixed(F.col("degradation"), 1), F.lit("% above the baseline of "),
-        fixed(F.col("baseline_rmse"), 2), F.lit(")."),
+        F.lit("horizon "), F.col(by).cast("string"), F.lit(": error "), fixed(F.col("baseline_rmse"), 2), F.lit(" -> "),
+        fixed(F.col("rmse"), 2), F.lit(", up by percent "), fixed(F.col("degradation"), 1),
     )
     return joined.withColumn("degradation", degradation).where(F.col("degradation") > limit).withColumn("message", message)

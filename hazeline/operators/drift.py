@@ -201,7 +201,7 @@ class DriftMonitor:
     def _result(self, result: DataFrame | None) -> DataFrame:
         result = result if result is not None else self.last
         if result is None:
-            raise RuntimeError("No drift results available: call detect() first")
+            raise RuntimeError("nothing to report before detect() has run")
         return result
 
     def summary(self, result: DataFrame | None = None, threshold: float | None = None) -> dict:

@@ -111,11 +111,13 @@ def ewm_columns(w: WindowSpec) -> dict[str, Column]:
         return reduce(add, parts)
 
     weight = total("_ewm_weight")
-    return {"aqi_ewm_6h": F.when(weight > 0, total("_ewm_sum") / weight)}
+    # a row without a reading keeps the mean of the last row with one, however far back: see `carried`
+    return {"aqi_ewm_6h": F.when(F.col(AQI).isNotNull(), total("_ewm_sum") / weight)}
 
 
 def add_ewm(df: DataFrame, chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
-    out = along_series(df, ewm_parts, ewm_columns, back=EWM_ROWS - 1, chunk_rows=chunk_rows)
+    out = along_series(
+        df, ewm_parts, ewm_columns, back=EWM_ROWS - 1, chunk_rows=chunk_rows, carried=["aqi_ewm_6h"])
     return out.select(*df.columns, "aqi_ewm_6h")
 
 
@@ -138,21 +140,29 @@ def add_features(
         }
 
     # Row-wise columns come last: they would only widen the shuffle.
-    windowed = along_series(df, parts, frames, back=WARMUP_ROWS, ahead=24 * horizon, chunk_rows=chunk_rows)
+    windowed = along_series(
+        df, parts, frames, back=WARMUP_ROWS, ahead=24 * horizon, chunk_rows=chunk_rows, carried=["aqi_ewm_6h"])
     return windowed.withColumns(row_wise).select(*df.columns, *FEATURES, *targets(horizon))
 
 
 def add_gap_free_hours(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Insert a row of nulls for each missing hour, so that row offsets equal hours."""
+    """Insert a row of nulls for each missing hour, so that row offsets equal hours.
+
+    The hours of a series lie at the minute of its readings; readings at several minutes are an error.
+    """
     keys = keys or ["city", "lat", "lon"]
-    spans = df.groupBy(*keys).agg(F.min("date").alias("_from"), F.max("date").alias("_to"))
+    past = F.minute("date") * 60 + F.second("date")
+    spans = df.groupBy(*keys).agg(
+        F.min("date").alias("_from"), F.max("date").alias("_to"), F.min(past).alias("_past"), F.max(past).alias("_most"))
     # One row per (series, month) first, so that no task expands a whole series.
     months = spans.select(
-        *keys, "_from", "_to",
+        *keys, "_from", "_to", "_past", "_most",
         F.explode(F.expr("sequence(cast(trunc(_from, 'MM') as date), cast(_to as date), interval 1 month)")).alias("_month"),
     ).repartition(*keys, "_month")
-    begin = F.greatest(F.col("_from"), F.col("_month").cast("timestamp_ntz"))
-    end = F.least(F.col("_to"), F.expr("cast(add_months(_month, 1) as timestamp_ntz) - interval 1 hour"))
+    past = F.expr("make_dt_interval(0, 0, 0, _past)")
+    mixed = F.raise_error(F.lit("a series has readings at different minutes of the hour"))
+    begin = F.when(F.col("_past") != F.col("_most"), mixed).otherwise(F.greatest(F.col("_from"), F.col("_month").cast("timestamp_ntz") + past))
+    end = F.least(F.col("_to"), F.expr("cast(add_months(_month, 1) as timestamp_ntz) - interval 1 hour") + past)
     hours = months.select(*keys, F.explode(F.sequence(begin, end, F.expr("interval 1 hour"))).alias("date"))
     return hours.join(df, [*keys, "date"], "left").select(*df.columns)
 

@@ -143,15 +143,22 @@ def pair_moments(columns: Sequence[str], centres: Sequence[float]):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals = np.zeros((len(_MOMENTS), width, width))
+        low, high = np.full((width, width), np.inf), np.full((width, width), -np.inf)
         for batch in batches:
             shifted = batch.to_numpy(dtype=float) - np.asarray(centres)
             present = ~np.isnan(shifted)
             x, seen = np.where(present, shifted, 0.0), present.astype(float)
+            for j in range(width):  # least and greatest value of each column where column j has one
+                here = present & present[:, j:j + 1]
+                if len(batch):
+                    low[:, j] = np.minimum(low[:, j], np.where(here, shifted, np.inf).min(axis=0))
+                    high[:, j] = np.maximum(high[:, j], np.where(here, shifted, -np.inf).max(axis=0))
             totals += np.stack([
                 seen.T @ seen, x.T @ seen, seen.T @ x, (x * x).T @ seen, seen.T @ (x * x), x.T @ x,
             ])
         cells = {m: totals[i][upper] for i, m in enumerate(_MOMENTS)}
-        yield pd.DataFrame({"feature_a": names[upper[0]], "feature_b": names[upper[1]], **cells})
+        ends = {"x_low": low[upper], "x_high": high[upper], "y_low": low.T[upper], "y_high": high.T[upper]}
+        yield pd.DataFrame({"feature_a": names[upper[0]], "feature_b": names[upper[1]], **cells, **ends})
 
     return run
 
@@ -165,14 +172,17 @@ def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     """
     columns = [c for c in (columns or numeric_columns(df))]
     means = df.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in columns]).first()
-    schema = "feature_a string, feature_b string, " + ", ".join(f"{m} double" for m in _MOMENTS)
+    ends = {"x_low": F.min, "x_high": F.max, "y_low": F.min, "y_high": F.max}
+    schema = "feature_a string, feature_b string, " + ", ".join(f"{m} double" for m in [*_MOMENTS, *ends])
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     partial = doubles.mapInPandas(pair_moments(columns, [means[c] for c in columns]), schema)
-    sums = partial.groupBy("feature_a", "feature_b").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
+    sums = partial.groupBy("feature_a", "feature_b").agg(
+        *[F.sum(m).alias(m) for m in _MOMENTS], *[f(m).alias(m) for m, f in ends.items()])
     n = F.col("n")
     vx, vy = F.col("sxx") - F.col("sx") ** 2 / n, F.col("syy") - F.col("sy") ** 2 / n
     cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
-    corr = F.when((n > 1) & (vx > 1e-12) & (vy > 1e-12), cov / F.sqrt(vx * vy))
+    varies = (F.col("x_low") < F.col("x_high")) & (F.col("y_low") < F.col("y_high"))
+    corr = F.when((n > 1) & varies, F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy)))
     return sums.select("feature_a", "feature_b", corr.alias("correlation"))
 
 
@@ -209,5 +219,4 @@ def autocorrelation(
 
 def model_columns(df: DataFrame) -> list[str]:
     """The model matrix: every numeric column but keys, targets and the delta."""
-    skip = set(targets(30)) | {"target_delta"}
-    return [c for c in numeric_columns(df) if c not in skip]
+    return [c for c in numeric_columns(df) if c != "target_delta" and not c.startswith("aqi_next_")]

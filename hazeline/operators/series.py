@@ -121,11 +121,13 @@ def along_series(
     back: int = 0,
     ahead: int = 0,
     chunk_rows: int | None = CHUNK_ROWS,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Add window columns per series.
 
     Each stage maps a window spec to new columns and may use those of the stage
     before. `back` and `ahead` say how many rows the frames reach in total.
+    A null in a column named in `carried` takes the last value of the chunks before.
     `chunk_rows=None` always gives the plain one-task-per-series window.
     Otherwise the keys and dates are counted first: pass a stored frame where
     computing `df` is costly.
@@ -138,4 +140,19 @@ def along_series(
         spec = Window.partitionBy(*keys, "_chunk").orderBy(order)
     for stage in stages:
         framed = framed.withColumns(stage(spec))
-    return framed if whole else framed.where("_own").drop("_chunk", "_own")
+    running = spec.rowsBetween(Window.unboundedPreceding, 0)
+    filled = {c: F.last(c, ignorenulls=True).over(running) for c in carried}
+    if whole:
+        return framed.withColumns(filled)
+    # rows from beside the chunk may lack a part of their own frames, and are not carried on
+    own = framed.where("_own")
+    return (carried_over(own, own.withColumns(filled), keys, order, carried) if carried else own).drop("_chunk", "_own")
+
+
+def carried_over(own: DataFrame, filled: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str]) -> DataFrame:
+    """Fill what is still null with the last value of the chunks before; one row per chunk is looked at for that."""
+    ends = own.groupBy(*keys, "_chunk").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns])
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    last = written(ends.select(*keys, "_chunk", *[F.last(c, ignorenulls=True).over(before).alias(f"_last_{c}") for c in columns]), "carried")
+    joined = filled.join(last, [*keys, "_chunk"], "left")
+    return joined.withColumns({c: F.coalesce(c, f"_last_{c}") for c in columns}).select(own.columns)

@@ -132,4 +132,4 @@ def make_split(df: DataFrame, method: str = "timeseries", **kwargs) -> DataFrame
         return holdout(df, **kwargs)
     if method == "timeseries":
         return blocks(df, **kwargs)
-    raise ValueError(f"Unknown split method: {method!r}")
+    raise ValueError(f"no way to split called {method!r}")

@@ -17,7 +17,7 @@ def delta_target(df: DataFrame, horizon: int, require_all_horizons: bool = False
     """
     name = f"aqi_next_{horizon}d"
     if name not in df.columns:
-        raise ValueError(f"'{name}' not found: build features with horizon >= {horizon}")
+        raise ValueError(f"no column {name}; the features were built for fewer days")
     others = [c for c in df.columns if c.startswith("aqi_next_") and c != name]
     rows = df if require_all_horizons else df.drop(*others)
     rows = drop_incomplete(rows, rows.columns)

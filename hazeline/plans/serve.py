@@ -29,7 +29,7 @@ def forecast(features: DataFrame, registry: ModelRegistry, days: Sequence[int] =
     newest = latest_rows(features)
     models = [m for m in chosen_models(registry).collect() if m["horizon"] in days]  # one row per horizon
     if not models:
-        raise RuntimeError("no production models available: run training first")
+        raise RuntimeError("no model is registered for these days")
     predictions = union_all([
         DeltaForecaster.load(m["path"]).predict(newest).select(
             "city", F.lit(m["horizon"]).alias("day"), F.col("european_aqi").alias("current_aqi"),

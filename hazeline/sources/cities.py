@@ -49,5 +49,5 @@ def resolve(df: DataFrame, city: str = "city") -> DataFrame:
     if missing:
         known = ", ".join(sorted(CITY_COORDINATES))
         names = ", ".join(repr(row["city"]) for row in missing)
-        raise UnknownCity(f"Unknown city {names}. Known cities: {known}.")
+        raise UnknownCity(f"no coordinates for {names}; there are some for: {known}")
     return locate(df, city)

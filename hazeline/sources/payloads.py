@@ -13,7 +13,8 @@ def explode_hourly(payloads: DataFrame, variables: Sequence[str]) -> DataFrame:
 
     A payload row holds city, lat, lon, `tz`, epoch seconds `time` (first step)
     and `time_end` (exclusive), the step `interval` in seconds, and one array per
-    variable. Dates come out as local time of the payload's zone.
+    variable. `date` is the instant as UTC clock; `local_date`, the clock of the
+    payload's zone, repeats or skips an hour where that zone changes its offset.
     """
     # div rounds down, so a last partial step is left out as in a left-closed range
     steps = F.expr("cast((time_end - time + interval - 1) div interval as int)")
@@ -21,10 +22,9 @@ def explode_hourly(payloads: DataFrame, variables: Sequence[str]) -> DataFrame:
         "_step", F.explode(F.sequence(F.lit(0), steps - 1))
     )
     utc = F.timestamp_seconds(F.col("time") + F.col("_step") * F.col("interval"))
-    # The wall clock of the payload's zone, read out zone-free.
     local = F.convert_timezone(F.lit("UTC"), F.col("tz"), utc_clock(utc))
     return step.select(
-        local.alias("date"), "city", "lat", "lon",
+        utc_clock(utc).alias("date"), local.alias("local_date"), "city", "lat", "lon",
         *[F.get(F.col(v), F.col("_step")).alias(v) for v in variables],
     )
 

@@ -26,7 +26,7 @@ def next_versions(runs: DataFrame, registry: DataFrame | None, order: str) -> Da
 def best_version(registry: DataFrame, metric: str = "rmse", direction: str = "min") -> DataFrame:
     """One row per name; equal metrics go to the older version."""
     if direction not in ("min", "max"):
-        raise ValueError(f"Unknown direction: {direction!r}")
+        raise ValueError(f"direction is min or max, not {direction!r}")
     ranked = F.col(metric).asc_nulls_last() if direction == "min" else F.col(metric).desc_nulls_last()
     place = F.row_number().over(Window.partitionBy("name").orderBy(ranked, "version"))
     return registry.withColumn("_rn", place).where("_rn = 1").drop("_rn")
@@ -63,8 +63,10 @@ class ModelRegistry:
 
     def register(self, runs: DataFrame, order: str = "created_at") -> DataFrame:
         """Append runs (name, horizon, metrics, path, created_at) with their new versions."""
-        numbered = next_versions(runs, self.rows(), order).select(REGISTRY_SCHEMA.names)
-        numbered.write.mode("append").parquet(self.path)
+        return self.append(next_versions(runs, self.rows(), order))
+
+    def append(self, numbered: DataFrame) -> DataFrame:
+        numbered.select(REGISTRY_SCHEMA.names).write.mode("append").parquet(self.path)
         return self.rows()
 
     def best(self, name: str, metric: str = "rmse", direction: str = "min"):

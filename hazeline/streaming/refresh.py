@@ -1,39 +1,63 @@
 """Feature refresh driven by newly landed raw files.
 
 Each micro-batch is upserted into a raw table; features are then recomputed for
-the days the batch can change. A late row simply falls into an earlier range, and
-the upsert replaces what it changes.
+the days of the stations that the batch can change. A late row simply falls into an
+earlier range, and the upsert replaces what it changes.
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hazeline.operators.features import add_features, complete_rows
-from hazeline.schema import FORECAST_HORIZON, LOOKBACK_DAYS, RAW_SCHEMA
+from hazeline.operators.features import WARMUP_ROWS, add_features, complete_rows
+from hazeline.schema import FORECAST_HORIZON, RAW_SCHEMA
+from hazeline.session import written
 from hazeline.sources.feature_table import FeatureTable
 from hazeline.sources.files import clean
 
 
 def apply_batch(
-    batch: DataFrame, raw: FeatureTable, features: FeatureTable, lookback_days: int = LOOKBACK_DAYS,
-    horizon: int = FORECAST_HORIZON,
+    batch: DataFrame, raw: FeatureTable, features: FeatureTable, horizon: int = FORECAST_HORIZON,
 ) -> None:
-    span = batch.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
-    if span["first"] is None:
+    batch = clean(batch)
+    spans = written(batch.groupBy("city").agg(F.min("date").alias("first"), F.max("date").alias("last")), "spans")
+    if spans.isEmpty():
         return
-    raw.upsert(clean(batch))
-    # Rows before the batch gain targets from it; rows after it look back on it.
-    # The read goes further on both sides, to fill frames and targets at the edges.
-    last_changed = span["last"] + timedelta(days=lookback_days)
-    start = (span["first"] - timedelta(days=lookback_days + horizon)).date()
-    end = (last_changed + timedelta(days=lookback_days)).date()
-    rows = complete_rows(add_features(raw.read(str(start), str(end)), horizon))
-    features.upsert(rows.where(F.col("date") <= F.lit(str(last_changed)).cast("timestamp_ntz")))
+    raw.upsert(batch)
+    # Rows before the batch gain targets from it, rows after it look back on it; and
+    # both need the frames and targets at their own edges.
+    back, ahead = WARMUP_ROWS, 24 * horizon
+    reach = written(reached_days(raw.read(), spans, back, ahead), "reach")
+    ends = reach.agg(F.min("read_from").alias("start"), F.max("read_to").alias("end")).first()
+    rows = raw.read(str(ends["start"]), str(ends["end"])).join(reach.select("city"), "city", "left_semi")
+    found = complete_rows(add_features(rows, horizon)).join(reach, "city").where(F.to_date("date").between(F.col("from"), F.col("to")))
+    features.upsert(found.select(features.schema.names))
+
+
+def reached_days(rows: DataFrame, spans: DataFrame, back: int, ahead: int) -> DataFrame:
+    """(city, read_from, from, to, read_to): the days whose features a batch can change, and the days to read for them.
+
+    Frames count rows, so the days are found from the rows of each city and day, not from the calendar.
+    """
+    counts = rows.groupBy("city", F.to_date("date").alias("day")).agg(F.count("*").alias("n")).join(spans, "city")
+    before = counts.where(F.col("day") < F.to_date("first")).withColumn(
+        "rows", F.sum("n").over(Window.partitionBy("city").orderBy(F.desc("day"))))
+    after = counts.where(F.col("day") > F.to_date("last")).withColumn("rows", F.sum("n").over(Window.partitionBy("city").orderBy("day")))
+
+    def near(days: DataFrame, enough: int, name: str, nearest, farthest) -> DataFrame:
+        held = nearest(F.when(F.col("rows") >= enough, F.col("day")))
+        return days.groupBy("city").agg(F.coalesce(held, farthest("day")).alias(name))
+
+    out = spans
+    for days, enough, name, nearest, farthest in (
+        (before, ahead, "from", F.max, F.min), (before, ahead + back, "read_from", F.max, F.min),
+        (after, back, "to", F.min, F.max), (after, back + ahead, "read_to", F.min, F.max),
+    ):
+        out = out.join(near(days, enough, name, nearest, farthest), "city", "left")
+    own = {"from": "first", "read_from": "first", "to": "last", "read_to": "last"}
+    return out.select("city", *[F.coalesce(name, F.to_date(edge)).alias(name) for name, edge in own.items()])
 
 
 def refresh_stream(

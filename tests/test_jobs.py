@@ -29,11 +29,11 @@ def close(got, want):
 # ---- alerts -----------------------------------------------------------------
 
 @pytest.mark.parametrize("current, ahead, fired", [
-    (45.0, [50.0, 48.0, 52.0], []),
-    (180.0, [50.0], [("current", 0)]),
-    (40.0, [200.0, 50.0], [("forecast", 1)]),
-    (40.0, [None, 80.0, None], []),
-    (40.0, [None, 80.0, 151.0], [("forecast", 3)]),
+    (149.9, [0.0, 12.5, 150.0], []),
+    (150.1, [149.0], [("current", 0)]),
+    (7.0, [333.3, 20.0], [("forecast", 1)]),
+    (9.0, [None, 77.0, None], []),
+    (9.0, [None, 77.0, 150.5], [("forecast", 3)]),
     (150.0, [], []),
 ])
 def test_aqi_alerts(spark, current, ahead, fired):
@@ -46,19 +46,19 @@ def test_aqi_alerts(spark, current, ahead, fired):
 
 def test_drift_alert(spark):
     schema = "dataset_drift boolean, share_drifted double, drifted_features array<string>"
-    df = spark.createDataFrame([(True, 0.42, ["ozone", "pm2_5"]), (False, 0.1, ["rain"]), (True, 0.5, [])], schema)
+    df = spark.createDataFrame([(True, 0.6181, ["rain", "pm10"]), (False, 0.2, ["ozone"]), (True, 1.0, [])], schema)
     messages = [r["message"] for r in alerts.drift_alert(df, "Lahore").collect()]
     assert messages == [
-        "42.0% of input features have drifted in Lahore. Drifted columns: ozone, pm2_5",
-        "50.0% of input features have drifted in Lahore. Drifted columns: none identified",
+        "Lahore: inputs drifted, share 0.618; columns rain, pm10",
+        "Lahore: inputs drifted, share 1.000; columns -",
     ]
 
 
 def test_decay_alerts(spark):
-    live = spark.createDataFrame([(1, 25.0), (2, 11.0), (3, 12.0)], "horizon int, rmse double")
-    base = spark.createDataFrame([(1, 10.0), (2, 10.0), (3, 10.0)], "horizon int, rmse double")
-    (row,) = alerts.decay_alerts(live, base).collect()  # +20% exactly is within tolerance
-    assert row["horizon"] == 1 and row["degradation"] == pytest.approx(150)
+    live = spark.createDataFrame([(1, 6.0), (2, 4.1), (3, 4.9)], "horizon int, rmse double")
+    base = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 4.0)], "horizon int, rmse double")
+    (row,) = alerts.decay_alerts(live, base).collect()  # 20 percent exactly raises nothing
+    assert row["horizon"] == 3 and row["degradation"] == pytest.approx(22.5)
 
 
 def test_labels(spark):
@@ -164,7 +164,7 @@ def test_train_and_serve(spark, long_df, tmp_path):
     table = FeatureTable.get_or_create(spark, root, "features", 1, FEATURE_SCHEMA)
     table.upsert(complete_rows(add_features(long_df)))
     registry = ModelRegistry(spark, f"{root}/registry")
-    with pytest.raises(RuntimeError, match="no production models"):
+    with pytest.raises(RuntimeError, match="no model is registered"):
         serve.forecast(table.read(), registry)
     small = {"random_forest": {"numTrees": 3, "maxDepth": 3}}
     winners = train.train(table, registry, f"{root}/models", "2026-01-01", "2026-12-31", horizons=(1, 2),

@@ -10,14 +10,26 @@ from hazeline.sources.feature_table import FeatureTable, table_versions, trainin
 from hazeline.sources.registry import ModelRegistry, production_model, training_winner
 
 
-def test_payload_steps_are_left_closed_and_local(spark):
+def test_no_hour_is_lost_when_clocks_change(spark):
+    start = 1729987200  # 2024-10-27 in UTC; London repeats an hour
+    rows = [("London", 1.0, 2.0, "Europe/London", start, start + 86400, 3600, [float(i) for i in range(24)])]
+    df = spark.createDataFrame(
+        rows, "city string, lat double, lon double, tz string, time bigint, time_end bigint, interval int, pm10 array<double>"
+    )
+    got = payloads.explode_hourly(df, ["pm10"])
+    assert got.select("date").distinct().count() == 24 and got.select("local_date").distinct().count() == 23
+
+
+def test_payload_steps_are_left_closed_and_in_utc(spark):
     rows = [("Lahore", 1.0, 2.0, "Asia/Karachi", 1704067200, 1704067200 + 3 * 3600, 3600, [1.0, None, 3.0]),
             ("Delhi", 1.0, 2.0, "Asia/Kolkata", 1704067200, 1704067200 + 5400, 3600, [7.0, 8.0])]
     df = spark.createDataFrame(
         rows, "city string, lat double, lon double, tz string, time bigint, time_end bigint, interval int, pm10 array<double>"
     )
     got = sorted_pandas(payloads.explode_hourly(df, ["pm10"]))
-    assert [str(d) for d in got.date] == [
+    hours = ["2024-01-01 00:00:00", "2024-01-01 01:00:00", "2024-01-01 00:00:00", "2024-01-01 01:00:00", "2024-01-01 02:00:00"]
+    assert [str(d) for d in got.date] == hours
+    assert [str(d) for d in got.local_date] == [
         "2024-01-01 05:30:00", "2024-01-01 06:30:00", "2024-01-01 05:00:00", "2024-01-01 06:00:00", "2024-01-01 07:00:00",
     ]
     np.testing.assert_array_equal(got.pm10, [7, 8, 1, np.nan, 3])
@@ -65,7 +77,7 @@ def test_city_lookup(spark):
     assert got == {"  LAHORE ": (31.558, 74.351), "New York": (40.7128, -74.0060)}
     bad = spark.createDataFrame([("Atlantis",), ("Delhi",)], "city string")
     assert [r["city"] for r in cities.unknown_cities(bad).collect()] == ["Atlantis"]
-    with pytest.raises(cities.UnknownCity, match="'Atlantis'. Known cities: beijing, delhi"):
+    with pytest.raises(cities.UnknownCity, match="'Atlantis'; there are some for: beijing, delhi"):
         cities.resolve(bad)
 
 

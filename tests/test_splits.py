@@ -47,7 +47,7 @@ def test_copies_of_one_key_stay_together(spark):
 def test_split_by_name(raw_df):
     assert "split" in splits.make_split(raw_df, "holdout").columns
     assert "block" in splits.make_split(raw_df).columns
-    with pytest.raises(ValueError, match="Unknown split"):
+    with pytest.raises(ValueError, match="no way to split"):
         splits.make_split(raw_df, "random")
     with pytest.raises(ValueError, match="folds"):
         splits.blocks(raw_df.limit(3))
