@@ -31,7 +31,7 @@ def close(got, want):
 @pytest.mark.parametrize("current, ahead, fired", [
     (149.9, [0.0, 12.5, 150.0], []),
     (150.1, [149.0], [("current", 0)]),
-    (7.0, [333.3, 20.0], [("forecast", 1)]),
+    (7.0, [277.7, 20.0], [("forecast", 1)]),
     (9.0, [None, 77.0, None], []),
     (9.0, [None, 77.0, 150.5], [("forecast", 3)]),
     (150.0, [], []),
