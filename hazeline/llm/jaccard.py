@@ -31,6 +31,7 @@ WORDS = 5
 PERCENT = 75
 CHUNK_TOKENS = 1 << 21  # shingles that a task sorts at once
 RANGE_TOKENS = 1 << 22  # shingles, about, that one task of the count gets
+DRAWS = 8
 WORTH = 10  # rounds of comparisons with drawn sets end when one finds less than this part of the best
 SMALL_IDS = 4_000_000  # ids (32 MB) up to which a list of them is broadcast
 
@@ -253,8 +254,13 @@ def joined(sets: DataFrame) -> DataFrame:
 
 
 def _with_centres(postings: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of each posting with one set of its list, drawn anew in each turn, of another component."""
-    drawn = F.min(F.struct(F.xxhash64(F.col("node"), F.lit(turn)).alias("draw"), "node", "n", "at", "component"))
+    """Pairs (a, b) of each posting with one set of its list, drawn anew in each turn, of another component.
+
+    Lists fall into `DRAWS` classes with a draw of their own, so that a set which is in many lists with the same others
+    meets about so many of them.
+    """
+    draw = F.xxhash64(F.col("node"), F.pmod("token", F.lit(DRAWS)), F.lit(turn))
+    drawn = F.min(F.struct(draw.alias("draw"), "node", "n", "at", "component"))
     several = postings.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), drawn.alias("c")).where("low < high")
     centres = several.select("token", "c.node", "c.n", "c.at", "c.component")
     near = postings.alias("x").join(centres.alias("y"), F.col("x.token") == F.col("y.token")).where((F.col("x.component") != F.col("y.component")) & _possible("x", "y"))
@@ -329,10 +335,12 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [words_of(x.as_py()) for x in batch.column(1)]
-            keys = [class_of(x) for x in words]
+            keys = []
+            for x in batch.column(1):  # one text at a time: its words take many times its own memory
+                words = words_of(x.as_py())
+                keys.append((*class_of(words), bool(words)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([bool(x) for x in words])], ["row", "hi", "lo", "said"])
+                [batch.column(0), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([k[2] for k in keys])], ["row", "hi", "lo", "said"])
 
     keyed = rows.mapInArrow(run, f"row {kind}, hi long, lo long, said boolean").alias("d")
     ours = keyed.where("said").join(winners, (F.col("d.hi") == F.col("w.hi")) & (F.col("d.lo") == F.col("w.lo")) & F.col("d.row.doc_id").eqNullSafe(F.col("w.first")))
