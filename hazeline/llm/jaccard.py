@@ -31,8 +31,8 @@ WORDS = 5
 PERCENT = 75
 CHUNK_TOKENS = 1 << 21  # shingles that a task sorts at once
 RANGE_TOKENS = 1 << 22  # shingles, about, that one task of the count gets
-DRAWS = 8
-WORTH = 10  # rounds of comparisons with drawn sets end when one finds less than this part of the best
+DRAWS = 16
+WORTH = 200  # rounds of comparisons with drawn sets end when one finds less than this part of the best
 SMALL_IDS = 4_000_000  # ids (32 MB) up to which a list of them is broadcast
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -67,10 +67,6 @@ def class_of(words: list[bytes]) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-def needed(n: int | np.ndarray):
-    """How many of its shingles a set must share with a partner at least."""
-    return (n * PERCENT + 99) // 100
-
 
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, hi, lo, words): each document's class and number of words."""
@@ -254,15 +250,15 @@ def joined(sets: DataFrame) -> DataFrame:
 
 
 def _with_centres(postings: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of each posting with one set of its list, drawn anew in each turn, of another component.
+    """Pairs (a, b) of each posting with sets of its list, drawn anew in each turn, of another component.
 
-    Lists fall into `DRAWS` classes with a draw of their own, so that a set which is in many lists with the same others
-    meets about so many of them.
+    The first turn draws one set for each list, `DRAWS` classes of lists each in an order of its own, so that lists with
+    the same sets agree; later, when few lists are left, each draws `DRAWS` sets.
     """
-    draw = F.xxhash64(F.col("node"), F.pmod("token", F.lit(DRAWS)), F.lit(turn))
-    drawn = F.min(F.struct(draw.alias("draw"), "node", "n", "at", "component"))
-    several = postings.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), drawn.alias("c")).where("low < high")
-    centres = several.select("token", "c.node", "c.n", "c.at", "c.component")
+    salts = [F.pmod("token", F.lit(DRAWS))] if turn == 1 else [F.lit(i) for i in range(DRAWS)]
+    place = [F.min(F.struct(F.xxhash64(F.col("node"), salt, F.lit(turn)).alias("draw"), "node", "n", "at", "component")).alias(f"c{i}") for i, salt in enumerate(salts)]
+    several = postings.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), *place).where("low < high")
+    centres = several.select("token", F.explode(F.array_distinct(F.array(*(f"c{i}" for i in range(len(salts)))))).alias("c")).select("token", "c.node", "c.n", "c.at", "c.component")
     near = postings.alias("x").join(centres.alias("y"), F.col("x.token") == F.col("y.token")).where((F.col("x.component") != F.col("y.component")) & _possible("x", "y"))
     return near.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
