@@ -67,7 +67,6 @@ def class_of(words: list[bytes]) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, hi, lo, words): each document's class and number of words."""
     kind = dict(docs.dtypes)["doc_id"]
