@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from conftest import raw_pandas, sorted_pandas, to_spark
+from pyspark.sql import functions as F
 
 from hazeline.operators import features as ft
 from hazeline.operators.series import along_series
@@ -146,3 +147,28 @@ def test_gap_free_hours(spark):
     out = sorted_pandas(ft.add_gap_free_hours(to_spark(spark, thin)))
     assert list(out.date) == list(raw.date)
     assert out.european_aqi.isna().sum() == 20
+
+
+def test_mean_is_carried_over_long_gaps_and_chunk_borders(spark):
+    rng = np.random.default_rng(11)
+    values = rng.uniform(20, 90, 900)
+    values[60:420] = np.nan  # longer than a chunk
+    values[700:860] = np.nan
+    frame = pd.DataFrame({"date": pd.date_range("2026-01-01", periods=900, freq="h"), "city": "Lahore", "european_aqi": values})
+    rows = [(d.to_pydatetime(), c, None if np.isnan(v) else float(v)) for d, c, v in frame.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "date timestamp_ntz, city string, european_aqi double")
+    want = frame.european_aqi.ewm(span=6).mean().to_numpy()
+    for chunk_rows in (None, 168):
+        got = sorted_pandas(ft.add_ewm(df, chunk_rows=chunk_rows)).aqi_ewm_6h.to_numpy(dtype=float)
+        np.testing.assert_allclose(got, want, rtol=1e-12)
+
+
+def test_hours_at_half_past_and_mixed_minutes(spark):
+    times = pd.date_range("2026-01-30 18:30", periods=96, freq="h")
+    rows = [(t.to_pydatetime(), "Delhi", 1.0, 2.0, float(i)) for i, t in enumerate(times) if i % 5]
+    df = spark.createDataFrame(rows, "date timestamp_ntz, city string, lat double, lon double, european_aqi double")
+    got = ft.add_gap_free_hours(df)
+    assert got.count() == 94 and got.where("european_aqi is not null").count() == len(rows)
+    mixed = df.unionByName(df.limit(1).withColumn("date", F.col("date") + F.expr("interval 7 minutes")))
+    with pytest.raises(Exception, match="different minutes"):
+        ft.add_gap_free_hours(mixed).collect()

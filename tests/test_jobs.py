@@ -1,3 +1,5 @@
+import os
+
 from datetime import date
 
 import numpy as np
@@ -12,6 +14,7 @@ from hazeline.operators.quality import DataQualityError
 from hazeline.plans import ingest, serve, train
 from hazeline.schema import AIR_VARIABLES, FEATURE_SCHEMA, FEATURES, KEYS, RAW_SCHEMA, WEATHER_VARIABLES
 from hazeline.sources.feature_table import FeatureTable
+from hazeline.learn import training
 from hazeline.sources.registry import ModelRegistry
 from hazeline.streaming.refresh import refresh_stream
 
@@ -177,3 +180,25 @@ def test_train_and_serve(spark, long_df, tmp_path):
     fired = serve.alerts(serve.forecast(table.read(), registry), threshold=0).toPandas()
     assert len(fired) == 2 * (1 + 2)
     assert set(FEATURES) < set(table.read().columns)
+
+
+class Saved:
+    def __init__(self, text):
+        self.text = text
+
+    def save(self, path):
+        os.makedirs(path)
+        with open(f"{path}/model", "x") as f:
+            f.write(self.text)
+
+
+def test_each_version_has_files_of_its_own(spark, tmp_path):
+    registry = ModelRegistry(spark, f"{tmp_path}/registry")
+    schema = "model string, horizon int, r2 double, mae double, mse double, rmse double, skill_vs_naive double"
+    for turn, rmse in (("first", 3.0), ("second", 4.0)):
+        metrics = spark.createDataFrame([("linear", 1, 0.5, 1.0, rmse**2, rmse, 0.1), ("linear", 2, 0.4, 1.0, rmse**2, rmse, 0.1)], schema)
+        training.register(registry, metrics, {("linear", 1): Saved(turn), ("linear", 2): Saved(turn)}, f"{tmp_path}/models")
+    rows = {(r.name, r.version): r.path for r in registry.rows().collect()}
+    assert set(rows) == {(f"aqi_linear_h{h}", v) for h in (1, 2) for v in (1, 2)} and len(set(rows.values())) == 4
+    best = registry.best("aqi_linear_h1")
+    assert (best["version"], open(f"{best['path']}/model").read()) == (1, "first")
