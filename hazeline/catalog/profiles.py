@@ -273,20 +273,21 @@ def drift_summary(spark, sf_dir):
 
 @query("drift_alert", _summary + f"""
 select 'Lahore' as city, 'drift' as kind, {s6('share_drifted')} as value,
-  printf('%.1f', share_drifted * 100) || '% of input features have drifted in Lahore. Drifted columns: '
-    || coalesce(names, 'none identified') as message from summary where share_drifted > 0.05""")
+  'Lahore: inputs drifted, share ' || printf('%.3f', share_drifted) || '; columns ' || coalesce(names, '-') as message from summary where share_drifted > 0.05""")
 def drift_alert_rows(spark, sf_dir):
     return rounded(drift_alert(drift.drift_summary(verdicts(spark, sf_dir), threshold=0.05), "Lahore"), "value")
 
 
-_listed = ", ".join(f"('{c}')" for c in MEASURES)
+def _side(skip: str) -> str:
+    return " union all ".join(f"select '{c}' as c, count(*) as rows, count({c}) as vals from panel" for c in MEASURES if c != skip)
 
 
-@query("drift_columns", f"""
-with r as (select * from (values {_listed}) as t(c) where c <> 'rain'),
-n as (select c from (values {_listed}) as t(c) where c <> 'ozone')
+@query("drift_columns", PANEL_SQL + f""",
+r as ({_side('rain')}),
+n as ({_side('ozone')})
 select coalesce(r.c, n.c) as "column", case when n.c is null then 'missing' when r.c is null then 'new'
-  else 'shared' end as status from r full join n on r.c = n.c""")
+  else 'shared' end as status, r.rows as ref_rows, r.vals as ref_values, n.rows as cur_rows, n.vals as cur_values
+from r full join n on r.c = n.c""")
 def drift_columns(spark, sf_dir):
     rows = panel(spark, sf_dir)
     return drift.column_alignment(rows.drop("rain"), rows.drop("ozone"))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from hazeline.learn.models import LABEL, SCALED, DeltaForecaster
 from hazeline.sources.cities import literal_rows
 
-SAMPLE_ROWS = 200
 TOP_FEATURES = 15
 
 
@@ -24,9 +23,9 @@ def top_features(model: DeltaForecaster, df: DataFrame, n: int = TOP_FEATURES) -
     return importances(model, df).orderBy(F.desc("importance"), "feature").limit(n)
 
 
-def linear_attribution(model: DeltaForecaster, test: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(feature, mean_abs): mean size of coef * (x - mean(x)) over the first `rows` test rows."""
-    sample = test.orderBy("date", "city").limit(rows)
+def linear_attribution(model: DeltaForecaster, test: DataFrame) -> DataFrame:
+    """(feature, mean_abs): mean size of coef * (x - mean(x)) over all test rows."""
+    sample = test
     for stage in model.pipeline.stages[:-2]:
         sample = stage.transform(sample)
     names = [SCALED + c for c in model.features]

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazeline.functions.probability import chi_square_tail, erfc, kolmogorov_tail
+from hazeline.functions.probability import EXACT_ROWS, chi_square_tail, erfc, exact_kolmogorov_tail, kolmogorov_tail
 from hazeline.operators.profile import as_readings, numeric_columns
 from hazeline.schema import DRIFT_SHARE_LIMIT
 from hazeline.session import written
@@ -148,11 +148,18 @@ def column_distances(
 
 
 def column_drift(
-    reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, **kwargs
+    reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None,
+    small_reference: int = SMALL_REFERENCE, **kwargs
 ) -> DataFrame:
-    """(column, method, score, drifted): the test is chosen by reference size and number of values."""
+    """(column, method, score, drifted): the test is chosen by reference size and number of values.
+
+    A reference of up to `small_reference` rows is tested by a p-value, a larger one by a distance. The p-value of the
+    Kolmogorov-Smirnov test is exact while both sides have at most 10,000 rows.
+    """
     d = column_distances(reference, current, columns, **kwargs)
-    small, few = F.col("n_ref") <= SMALL_REFERENCE, F.col("ref_values") <= FEW_VALUES
+    small, few = F.col("n_ref") <= small_reference, F.col("ref_values") <= FEW_VALUES
+    exact = small & ~few & (F.greatest("n_ref", "n_cur") <= EXACT_ROWS)
+    d = d.withColumn("ks_p", F.when(exact, exact_kolmogorov_tail("ks", F.when(exact, F.col("n_ref")), F.when(exact, F.col("n_cur")))).otherwise(F.col("ks_p")))
     method = (
         F.when(small & (F.col("ref_values") <= 2), "z")
         .when(small & few, "chi_square").when(small, "ks").when(few, "jensen_shannon").otherwise("wasserstein")
@@ -177,13 +184,20 @@ def drift_summary(columns: DataFrame, threshold: float = DRIFT_SHARE_LIMIT) -> D
 
 
 def column_alignment(reference: DataFrame, current: DataFrame) -> DataFrame:
-    """(column, status) with status shared, missing or new."""
+    """(column, status, ref_rows, ref_values, cur_rows, cur_values) with status shared, missing or new.
+
+    Rows and non-null values of each side; null on the side that lacks the column.
+    """
     found = aligned_columns(reference, current)
-    # One array per status, taken from the two schemas; no data is read for it.
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(status).alias("status")) for status, cs in found.items() for c in cs
-    ])
-    return reference.sparkSession.range(1).select(F.inline(pairs))
+
+    def side(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+        counted = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns])
+        cells = [F.struct(F.lit(c).alias("column"), F.col("_rows").alias(f"{name}_rows"), F.col(c).alias(f"{name}_values")) for c in columns]
+        return counted.select(F.inline(F.array(*cells))) if cells else counted.select(F.lit("").alias("column"), F.col("_rows").alias(f"{name}_rows"), F.col("_rows").alias(f"{name}_values")).where("false")
+
+    both = side(reference, [*found["shared"], *found["missing"]], "ref").join(side(current, [*found["shared"], *found["new"]], "cur"), "column", "full")
+    status = F.when(F.col("cur_rows").isNull(), "missing").when(F.col("ref_rows").isNull(), "new").otherwise("shared")
+    return both.select("column", status.alias("status"), "ref_rows", "ref_values", "cur_rows", "cur_values")
 
 
 @dataclass
