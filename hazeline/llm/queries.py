@@ -15,4 +15,10 @@ QUERIES = {
     "op9_bpe": q_bpe.op9_bpe,
     "op10_top_products": q_vectors.op10_top_products,
 }
-CHECKS = {"op3_jaccard": q_jaccard.SQL, "op6_mixing": q_mixing.SQL, "op8_warc": q_pages.ARCHIVED, "op10_top_products": q_vectors.PRODUCTS}
+CHECKS = {
+    "op2_substrings": q_substrings.SQL,
+    "op3_jaccard": q_jaccard.SQL,
+    "op6_mixing": q_mixing.SQL,
+    "op8_warc": q_pages.ARCHIVED,
+    "op10_top_products": q_vectors.PRODUCTS,
+}

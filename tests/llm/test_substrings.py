@@ -2,10 +2,12 @@ import hashlib
 import random
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hazeline.llm import q_substrings
 from hazeline.llm import substrings as sub
 
 
@@ -88,3 +90,10 @@ def test_anchors_do_not_depend_on_blocks(monkeypatch):
 def test_text_of_what_is_kept(spark):
     row = spark.createDataFrame([(bytearray("é".encode()[1:] + "aé".encode() + "é".encode()[:1]),)], "kept binary")
     assert row.select(sub.whole_characters()).first()[0] == "aé"
+
+
+def test_equals_its_check(spark):
+    con = duckdb.connect()
+    con.execute("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
+    got = sorted(map(tuple, q_substrings.op2_substrings(spark, "/root/testdata/sf0.001").collect()))
+    assert got == sorted(con.execute(q_substrings.SQL).fetchall())
