@@ -209,7 +209,8 @@ def _postings(sets: DataFrame) -> DataFrame:
 
 def _reach(n: str, at: str) -> Column:
     """The size up to which a partner can be similar if it has no shingle in common before this position."""
-    return F.floor((F.col(n) - F.col(at)) * ((100 + PERCENT) / PERCENT) - F.col(n) + 1e-9)
+    size = F.col(n).cast("long")
+    return F.floor(((size - F.col(at)) * (100 + PERCENT) - size * PERCENT) / PERCENT)
 
 
 def _possible(x: str, y: str) -> Column:

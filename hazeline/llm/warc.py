@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from hazeline.session import scratch_path, written
 
 SMALLEST = 1000  # bytes of a payload that a revisit is worth
+FILE_BYTES = 64 << 20  # of a file before compression, about: a file is read as one value
 FILE_RECORDS = 4000  # records of a file at most
 END = "\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
@@ -55,16 +56,19 @@ def write_archives(records: DataFrame, path: str, key: str, uri: str, payload: s
     rows = records.select(F.col(key).alias("key"), F.col(uri).cast("string").alias("uri"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     again = resolved(rows, "key", "payload")
+    mean = rows.agg(F.avg(F.octet_length("payload"))).first()[0] or 0
+    in_file = max(1, min(FILE_RECORDS, int(FILE_BYTES / (mean + 1000))))
     both = rows.alias("r").join(again.alias("a"), F.col("r.key").eqNullSafe(F.col("a.key")) & (F.col("r.digest") == F.col("a.digest")), "left")
     digest, first = F.col("r.digest"), F.col("a.refers_to")
     size = F.octet_length("r.payload")
+    plain = F.col("r.uri").rlike(r"^[\x21-\x7E]+\z")  # others are escaped as a whole, and marked
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size.cast("string"), F.lit(END))
     block = F.when(first.isNull(), F.concat(http, F.col("r.payload"))).otherwise(http)
     lines = [
         F.concat(F.lit("WARC/1.1\r\nWARC-Type: "), F.when(first.isNull(), F.lit("response")).otherwise(F.lit("revisit"))),
         F.concat(F.lit("WARC-Record-ID: "), _record_id(F.col("r.key"), digest)),
         F.lit(f"WARC-Date: {date}"),
-        F.concat(F.lit("WARC-Target-URI: "), _hidden(F.col("r.uri"))),
+        F.concat(F.lit("WARC-Target-URI: "), F.when(plain, F.col("r.uri")).otherwise(F.concat(_hidden(F.col("r.uri")), F.lit("\r\nX-Escaped: uri")))),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), digest),
         F.when(first.isNotNull(), F.concat(F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To: "), _record_id(first, digest))),
         F.when(F.col("r.key").isNotNull(), F.concat(F.lit("X-Key: "), _hidden(F.col("r.key").cast("string")))),
@@ -72,7 +76,7 @@ def write_archives(records: DataFrame, path: str, key: str, uri: str, payload: s
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
     ]
     record = F.concat(F.concat_ws("\r\n", *lines), F.lit(END), block)
-    both.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    both.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", in_file).text(path)
 
 
 def parsed(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -113,7 +117,8 @@ def read_archives(spark, path: str) -> DataFrame:
                     if payload is not None and hashlib.sha1(payload).hexdigest() != digest:
                         raise ValueError(f"{head['warc-record-id']} does not have the payload of its digest")
                     key = unquote(head["x-key"]) if "x-key" in head else None
-                    out.append((key, unquote(head["warc-target-uri"]), head["warc-type"], head["warc-record-id"], head.get("warc-refers-to"), digest, payload))
+                    uri = head["warc-target-uri"]
+                    out.append((key, unquote(uri) if "x-escaped" in head else uri, head["warc-type"], head["warc-record-id"], head.get("warc-refers-to"), digest, payload))
                     size += len(block)
                     if size > 8 << 20:
                         yield _batch(out)
