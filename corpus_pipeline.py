@@ -9,6 +9,7 @@ from hazeline.llm.bpe import transcode
 from hazeline.llm.jaccard import one_of_each_group
 from hazeline.llm.language import UNKNOWN, identify, learn
 from hazeline.llm.mixing import mixed
+from hazeline.llm.passages import passages
 from hazeline.llm.q_bpe import VOCABULARY
 from hazeline.llm.substrings import whole_characters, without_repeats
 from hazeline.session import written
@@ -30,8 +31,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages that stand anywhere else; a document that consists of such keeps an empty text."""
-    rows = without_repeats(docs)
+    """Texts without passages of more than 50 words, or of 400 bytes, that stand anywhere else; a document that consists of
+    such keeps an empty text."""
+    rows = without_repeats(docs, also=passages(docs.select("text")))
     text = F.when(F.size("spans") > 0, whole_characters("kept")).otherwise(F.col("text"))
     return rows.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 

@@ -60,15 +60,15 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
-def _least(hashes: np.ndarray) -> np.ndarray:
-    """The least of each `PLACES` hashes in a row, from running minima of blocks in both directions."""
-    padded = np.full(-(-len(hashes) // PLACES) * PLACES, np.iinfo(np.uint64).max, np.uint64)
+def _least(hashes: np.ndarray, places: int = PLACES) -> np.ndarray:
+    """The least of each `places` hashes in a row, from running minima of blocks in both directions."""
+    padded = np.full(-(-len(hashes) // places) * places, np.iinfo(np.uint64).max, np.uint64)
     padded[:len(hashes)] = hashes
-    rows = padded.reshape(-1, PLACES)
+    rows = padded.reshape(-1, places)
     ahead = np.minimum.accumulate(rows, axis=1).reshape(-1)
     back = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    n = len(hashes) - PLACES + 1
-    return np.minimum(back[:n], ahead[PLACES - 1:PLACES - 1 + n])
+    n = len(hashes) - places + 1
+    return np.minimum(back[:n], ahead[places - 1:places - 1 + n])
 
 
 def _block_anchors(data: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -338,7 +338,7 @@ def _cut(data: bytes, runs: list[dict] | None) -> tuple[list[dict], bytes]:
     return merged, b"".join([*left, data[at:]])
 
 
-def without_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def without_repeats(docs: DataFrame, hot: int = HOT, also: DataFrame | None = None) -> DataFrame:
     """All columns of `docs`, then n_bytes, spans, kept: each text without the bytes of any 400-byte string that starts
     anywhere else too.
 
@@ -346,9 +346,11 @@ def without_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     `spans` are the maximal removed runs, array<struct<from: int, to: int>> in bytes of the UTF-8 text; `kept` is binary,
     the bytes between them, for a run may end within a character. A null text is empty; a text of fewer bytes is kept.
     Equal long texts go entirely. Repeated rows count as documents of their own; an empty table gives an empty result.
-    Columns of `docs` with the new names are replaced.
+    Columns of `docs` with the new names are replaced. `also`: (key, spans) of further bytes that go, by `class_key`.
     """
     found = removed(docs.select("text"), hot)
+    if also is not None:
+        found = written(found.unionByName(also).groupBy("key").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans")), "repeats-both")
     added = ("n_bytes", "spans", "kept")
     own = [c for c in docs.columns if c not in added]
     fields = ", ".join(f"`{n}` {t}" for n, t in docs.select(*(f"`{c}`" for c in own)).dtypes)
