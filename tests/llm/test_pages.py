@@ -4,7 +4,7 @@ import random
 
 import duckdb
 
-from hazeline.llm import q_pages, warc
+from hazeline.llm import dom, q_pages, warc
 from hazeline.llm.dom import matched, parse
 from hazeline.llm.extraction import extract, induce, main_text
 from hazeline.session import scratch_path
@@ -95,6 +95,22 @@ def test_matching_keeps_order():
     assert [(x.text, y.text) for x, y in matched(a, b) if x.tag == "li" and x.text == y.text] == [("2", "2"), ("3", "3")]
 
 
+def test_long_lists_are_aligned_in_full(monkeypatch):
+    items = [f"<p>text {i}</p>" for i in range(400)]
+    a, b = parse("<div>" + "".join(items) + "</div>"), parse("<div>" + "".join(["<p>other</p>", *items[:3], "<p>new</p>", *items[3:200], *items[205:]]) + "</div>")
+    assert sum(x.text == y.text for x, y in matched(a, b) if x.tag == "p") == 395
+    # halved or in one table, the score is the same
+    rng = random.Random(6)
+    for _ in range(30):
+        one, other = (parse("".join(rng.choice(["<p>a", "<p>b", "<div><p>c</p><p>d</p></div>", "<div><p>c</p></div>", "<ul><li>e</ul>"]) for _ in range(rng.randint(0, 14)))) for _ in range(2))
+        scores = []
+        for most in (40_000, 4, 0):
+            monkeypatch.setattr(dom, "MOST_PAIRS", most)
+            pairs = matched(one, other)
+            scores.append((dom._score(one, other, {}, None, False), sum(1 + (x.text == y.text) for x, y in pairs)))
+        assert scores[0][0] == scores[0][1] and len(set(scores)) == 1
+
+
 def test_pages_of_all_kinds(spark):
     rng = random.Random(3)
     body = lambda i: "<nav>x</nav><article><p>" + " ".join(rng.choice("abcdef") * 3 for _ in range(20)) + f"{i}</p></article>"
