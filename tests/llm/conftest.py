@@ -24,7 +24,3 @@ def odd_docs(spark):
 @pytest.fixture(scope="session")
 def no_docs(odd_docs):
     return odd_docs.where("false")
-
-
-def docs_of(spark, texts):
-    return spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")

@@ -4,10 +4,7 @@ from collections import defaultdict
 import corpus_pipeline
 from hazeline.llm.passages import SPAN, passages
 from hazeline.llm.substrings import class_key
-
-
-def docs_of(spark, texts):
-    return spark.createDataFrame([(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+from texts import docs_of
 
 
 def brute(texts):
