@@ -1,19 +1,7 @@
-import numpy as np
-import pandas as pd
 import pytest
 
-from hazeline.schema import MEASURES, RAW_SCHEMA
 from hazeline.session import local_session
-
-# Generated range per column.
-RANGES = {
-    "temperature_2m": (25, 42), "wind_direction_10m": (0, 360), "wind_speed_10m": (0, 30), "rain": (0, 5),
-    "weather_code": (0, 3), "wind_gusts_10m": (0, 50), "cloud_cover": (0, 100), "relative_humidity_2m": (30, 95),
-    "pm10": (10, 200), "pm2_5": (5, 120), "carbon_monoxide": (200, 900), "nitrogen_dioxide": (5, 60),
-    "sulphur_dioxide": (3, 20), "ozone": (0, 160), "uv_index": (0, 8), "aerosol_optical_depth": (0.3, 2),
-    "european_aqi": (40, 200),
-}
-PLACES = {"Lahore": (31.558, 74.351), "Karachi": (24.8607, 67.0011)}
+from panels import raw_pandas, to_spark
 
 
 @pytest.fixture(scope="session")
@@ -25,27 +13,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def raw_pandas(rows=420, cities=("Lahore", "Karachi"), start="2026-01-01", seed=42) -> pd.DataFrame:
-    rng = np.random.default_rng(seed)
-    parts = []
-    for city in cities:
-        frame = pd.DataFrame({"date": pd.date_range(start, periods=rows, freq="h"), "city": city})
-        frame["lat"], frame["lon"] = PLACES[city]
-        for c in MEASURES:
-            low, high = RANGES[c]
-            frame[c] = rng.integers(low, high, rows).astype(float) if c == "weather_code" else rng.uniform(low, high, rows)
-        parts.append(frame)
-    return pd.concat(parts, ignore_index=True)
-
-
-def to_spark(spark, frame: pd.DataFrame):
-    """Rows with NaN as null, as an ingested panel has them."""
-    names = [f.name for f in RAW_SCHEMA.fields if f.name != "date"]
-    values = frame[names].astype(object).where(frame[names].notna(), None)
-    rows = zip([d.to_pydatetime() for d in frame["date"]], *(values[c] for c in names))
-    return spark.createDataFrame([tuple(r) for r in rows], RAW_SCHEMA)
-
-
 @pytest.fixture(scope="session")
 def raw():
     return raw_pandas()
@@ -62,7 +29,3 @@ def engineered_df(raw_df):
     from hazeline.session import written
 
     return written(add_features(raw_df), "engineered")
-
-
-def sorted_pandas(df, keys=("city", "date")) -> pd.DataFrame:
-    return df.toPandas().sort_values(list(keys)).reset_index(drop=True)

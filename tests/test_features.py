@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import raw_pandas, sorted_pandas, to_spark
+from panels import raw_pandas, sorted_pandas, to_spark
 from pyspark.sql import functions as F
 
 from hazeline.operators import features as ft

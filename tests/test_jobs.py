@@ -4,7 +4,7 @@ from datetime import date
 
 import numpy as np
 import pytest
-from conftest import raw_pandas, sorted_pandas, to_spark
+from panels import raw_pandas, sorted_pandas, to_spark
 from pyspark.sql import functions as F
 
 from hazeline.functions.measures import aqi_band, health_tier, peak_tier

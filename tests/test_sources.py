@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import raw_pandas, sorted_pandas, to_spark
+from panels import raw_pandas, sorted_pandas, to_spark
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
