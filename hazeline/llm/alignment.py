@@ -12,7 +12,6 @@
 
 from __future__ import annotations
 
-import heapq
 import json
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -21,18 +20,18 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 import tiktoken
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.llm.bpe import PRETOKEN, byte_letters
+from hazeline.llm.runs import blocks, head_of, merged, packed, unpacked
 from hazeline.session import written
 
 CHUNK_BYTES = 4 << 20  # of text, whose links a task sorts at once
 CHUNK_DOCS = 20_000
 RADIX = 64
-BLOCK_PAIRS = 1 << 15  # of a run that are unpacked at once in a merge
+BEST_PAIRS = 1 << 15  # of a block of final counts, at least
 SHARE_BYTES = 32 << 20  # of runs, about, that one task takes
 SPAN = 1 << 20  # ids of B, and documents of a chunk, stay below
 
@@ -127,62 +126,6 @@ def _aligner(files: tuple[bytes, bytes]) -> Aligner:
     return _aligners[key]
 
 
-def _packed(*arrays: np.ndarray) -> bytes:
-    """Arrays behind one another, each with its length, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.int64(x.nbytes).tobytes() + x.tobytes() for x in arrays))
-
-
-def _unpacked(data: bytes, *kinds: type) -> list[np.ndarray]:
-    raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
-    for kind in kinds:
-        size = int(np.frombuffer(raw, np.int64, 1, at)[0])
-        out.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at + 8))
-        at += 8 + size
-    return out
-
-
-def _head(pairs: np.ndarray, counts: np.ndarray) -> list[bytes]:
-    """A sorted run of pairs with their counts, in blocks; pairs as differences."""
-    steps = np.diff(pairs, prepend=0)
-    return [_packed(pairs[i:i + 1], steps[i + 1:i + BLOCK_PAIRS], counts[i:i + BLOCK_PAIRS]) for i in range(0, len(pairs), BLOCK_PAIRS)]
-
-
-def _blocks(head: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for block in head:
-        first, steps, counts = _unpacked(block, np.int64, np.int64, np.int64)
-        yield np.cumsum(np.concatenate([first, steps])), counts
-
-
-def merged(heads: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(pairs, counts) of several sorted runs, summed by pair, in order. At most a block of each run is unpacked."""
-    sources = [_blocks(h) for h in heads]
-    held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    heap: list[tuple[int, int]] = []  # the last pair of each run's block
-
-    def load(i: int) -> None:
-        block = next(sources[i], None)
-        held.pop(i, None)
-        if block is not None:
-            held[i] = block
-            heapq.heappush(heap, (int(block[0][-1]), i))
-
-    for i in range(len(sources)):
-        load(i)
-    while heap:
-        bound = heap[0][0]  # all pairs up to here are unpacked
-        pairs, counts = [], []
-        for i, (p, c) in held.items():
-            to = int(np.searchsorted(p, bound, "right"))
-            pairs.append(p[:to])
-            counts.append(c[:to])
-            held[i] = p[to:], c[to:]
-        while heap and heap[0][0] == bound:
-            load(heapq.heappop(heap)[1])
-        every = np.concatenate(pairs)
-        found, place = np.unique(every, return_inverse=True)
-        yield found, np.bincount(place, np.concatenate(counts), len(found)).astype(np.int64)
-
-
 def _runs(docs: DataFrame, a: bytes, b: bytes, shown: Callable[[bytes], object]) -> DataFrame:
     """Runs (chunk, part, head, body) and, with part -1, the documents of each chunk. Stored."""
     files = docs.sparkSession.sparkContext.broadcast((a, b))
@@ -210,9 +153,9 @@ def _runs(docs: DataFrame, a: bytes, b: bytes, shown: Callable[[bytes], object])
             for p in np.unique(part):
                 here, often = keys[part == p], times[part == p]
                 pairs, counts = np.unique(here // SPAN, return_counts=True)
-                body = _packed((here % SPAN).astype(np.uint32), often.astype(np.uint32))
+                body = packed((here % SPAN).astype(np.uint32), often.astype(np.uint32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk]), pa.array([p], pa.int32()), pa.array([_head(pairs, counts)], pa.list_(pa.binary())), pa.array([body], pa.binary()), pa.array([None], pa.list_(kind_of))], names)
+                    [pa.array([chunk]), pa.array([p], pa.int32()), pa.array([head_of(pairs, counts)], pa.list_(pa.binary())), pa.array([body], pa.binary()), pa.array([None], pa.list_(kind_of))], names)
 
         names = ["chunk", "part", "head", "body", "docs"]
         kind_of = None
@@ -259,24 +202,24 @@ def _counts(runs: DataFrame, shares: DataFrame) -> DataFrame:
             yield now, merged(held)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (part, _), blocks in merge(batches):
-            head = [x for p, c in blocks for x in _head(p, c)]
+        for (part, _), found in merge(batches):
+            head = [x for p, c in found for x in head_of(p, c)]
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([head], pa.list_(pa.binary()))], ["part", "head"])
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (part,), blocks in merge(batches):
+        for (part,), found in merge(batches):
             number, pairs, counts = 0, np.zeros(0, np.int64), np.zeros(0, np.int64)
-            for p, c in chain(blocks, [(None, None)]):
+            for p, c in chain(found, [(None, None)]):
                 done = len(pairs)
                 if p is not None:
                     pairs, counts = np.concatenate([pairs, p]), np.concatenate([counts, c])
                     done = int(np.searchsorted(pairs, pairs[-1] // SPAN * SPAN))  # the last A id may go on
-                    if done < BLOCK_PAIRS:
+                    if done < BEST_PAIRS:
                         continue
                 if done:
                     starts = np.flatnonzero(np.diff(pairs[:done] // SPAN, prepend=-1))
                     most = np.repeat(np.maximum.reduceat(counts[:done], starts), np.diff(np.append(starts, done)))
-                    blob = _packed(pairs[:done], counts[:done], (counts[:done] == most).astype(np.uint8))
+                    blob = packed(pairs[:done], counts[:done], (counts[:done] == most).astype(np.uint8))
                     yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([blob], pa.binary())], ["part", "block", "counts"])
                     number, pairs, counts = number + 1, pairs[done:], counts[done:]
 
@@ -297,18 +240,18 @@ def _contributions(runs: DataFrame, counts: DataFrame, shares: DataFrame) -> Dat
                 if key != now:
                     now, known, table = key, [], None
                 if block.as_py() is not None:  # counts come first
-                    known.append(_unpacked(body.as_py(), np.int64, np.int64, np.uint8))
+                    known.append(unpacked(body.as_py(), np.int64, np.int64, np.uint8))
                     continue
                 if table is None:
                     table = [np.concatenate([k[i] for k in known]) for i in range(3)]
-                pairs, often = (np.concatenate(x) for x in zip(*_blocks(head.as_py())))
-                doc, times = _unpacked(body.as_py(), np.uint32, np.uint32)
+                pairs, often = (np.concatenate(x) for x in zip(*blocks(head.as_py())))
+                doc, times = unpacked(body.as_py(), np.uint32, np.uint32)
                 at = np.repeat(np.searchsorted(table[0], pairs), often)
                 docs, place = np.unique(doc, return_inverse=True)
                 total = np.zeros(len(docs), np.int64)
                 np.add.at(total, place, times * table[1][at])
                 best = np.bincount(place, times * table[2][at], len(docs)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([chunk_of(chunk), pa.array([_packed(docs.astype(np.uint32), total, best)], pa.binary())], ["chunk", "sums"])
+                yield pa.RecordBatch.from_arrays([chunk_of(chunk), pa.array([packed(docs.astype(np.uint32), total, best)], pa.binary())], ["chunk", "sums"])
 
     def chunk_of(chunk: pa.Scalar) -> pa.Array:
         return pa.array([chunk.as_py()], pa.int64())
@@ -357,7 +300,7 @@ def alignment(docs: DataFrame, a_path: str, b_path: str, shown: Callable[[bytes]
                     now, rows = chunk, batch.column(1).slice(i, 1)  # the documents come first
                     best, total = (np.zeros(len(rows[0]), np.int64) for _ in range(2))
                 else:
-                    doc, more, top = _unpacked(sums.as_py(), np.uint32, np.int64, np.int64)
+                    doc, more, top = unpacked(sums.as_py(), np.uint32, np.int64, np.int64)
                     total[doc] += more
                     best[doc] += top
         if rows is not None:

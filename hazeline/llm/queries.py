@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hazeline.llm import q_alignment, q_bpe, q_jaccard, q_language, q_mixing, q_pages, q_rollups, q_spelling, q_substrings, q_vectors
+from hazeline.llm import q_alignment, q_bpe, q_jaccard, q_language, q_mixing, q_pages, q_rollups, q_scoring, q_spelling, q_substrings, q_vectors
 
 QUERIES = {
     "op1_language": q_language.op1_language,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": q_pages.op8_warc,
     "op9_bpe": q_bpe.op9_bpe,
     "op10_top_products": q_vectors.op10_top_products,
+    "op11_scoring": q_scoring.op11_scoring,
     "op12_alignment": q_alignment.op12_alignment,
     "op13_spelling": q_spelling.op13_spelling,
 }

@@ -5,6 +5,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from hazeline.llm import alignment as m
+from hazeline.llm import runs
 from hazeline.llm.bpe import byte_letters
 from hazeline.llm.q_alignment import A, B, digest, op12_alignment
 from texts import docs_of
@@ -65,8 +66,9 @@ def test_equals_brute_force(spark):
 
 def test_small_chunks_blocks_and_shares(spark, monkeypatch):
     """Runs of many chunks, merged in several shares and in blocks of a few pairs."""
-    for name, value in (("CHUNK_DOCS", 7), ("RADIX", 3), ("BLOCK_PAIRS", 5), ("SHARE_BYTES", 2000)):
+    for name, value in (("CHUNK_DOCS", 7), ("RADIX", 3), ("BEST_PAIRS", 5), ("SHARE_BYTES", 2000)):
         monkeypatch.setattr(m, name, value)
+    monkeypatch.setattr(runs, "BLOCK", 5)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id < 60").collect()
     texts = [d.text for d in docs] + ["the same words again"] * 40
     want = [(i, *x) for i, x in enumerate(brute(texts))]
@@ -86,8 +88,8 @@ def test_odd_documents(spark, odd_docs, no_docs):
 
 def test_merge_sums_in_order():
     rng = np.random.default_rng(2)
-    runs = [np.unique(rng.integers(0, 1 << 40, rng.integers(1, 90_000))) for _ in range(5)] + [np.array([7], np.int64)]
-    got = list(m.merged([m._head(r, np.full(len(r), i + 1)) for i, r in enumerate(runs)]))
+    every = [np.unique(rng.integers(0, 1 << 40, rng.integers(1, 90_000))) for _ in range(5)] + [np.array([7], np.int64)]
+    got = list(runs.merged([runs.head_of(r, np.full(len(r), i + 1)) for i, r in enumerate(every)]))
     pairs, counts = (np.concatenate(x) for x in zip(*got))
-    want, place = np.unique(np.concatenate(runs), return_inverse=True)
-    assert (pairs == want).all() and (counts == np.bincount(place, np.repeat(np.arange(1, 7), [len(r) for r in runs]))).all()
+    want, place = np.unique(np.concatenate(every), return_inverse=True)
+    assert (pairs == want).all() and (counts == np.bincount(place, np.repeat(np.arange(1, 7), [len(r) for r in every]))).all()
