@@ -9,11 +9,12 @@ from hazeline.catalog import sql
 from hazeline.catalog.features import complete_frame
 from hazeline.catalog.panel import PANEL_SQL, panel, r6, rounded, s6
 from hazeline.catalog.registration import query
-from hazeline.learn import explain, training, validation
+from hazeline.learn import explain, ridge_path, training, validation
 from hazeline.learn.models import builder, fit
 from hazeline.operators import alerts, forecast, metrics
 from hazeline.operators.splits import blocks, fold_table, holdout
 from hazeline.operators.targets import delta_target
+from hazeline.schema import MODEL_FEATURES
 from hazeline.session import scratch_path, written
 from hazeline.sources.registry import best_version, next_versions, production_model, training_winner
 
@@ -292,13 +293,7 @@ def model_decay(spark, sf_dir):
     return rounded(found, "rmse", "baseline_rmse", "degradation")
 
 
-# ---- fitted models (checked by row count and by tests) ----------------------
-
-# Small settings, so that a run over every query stays short; the defaults are those of the training job.
-SMALL = {
-    "random_forest": {"numTrees": 10, "maxDepth": 6}, "boosted": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 3},
-}
-
+# ---- fitted models (checked by row count, by tests, and ridge by its gradient) ----
 
 def split_rows(spark, sf_dir, horizon=1) -> tuple[DataFrame, DataFrame]:
     rows = holdout(delta_target(complete_frame(spark, sf_dir), horizon))
@@ -308,7 +303,7 @@ def split_rows(spark, sf_dir, horizon=1) -> tuple[DataFrame, DataFrame]:
 def _register_model(name, kind):
     def run(spark, sf_dir):
         train, test = split_rows(spark, sf_dir)
-        model = fit(kind, train, 1, SMALL.get(kind))
+        model = fit(kind, written(train, "train"), 1)
         return model.predict(test).select("city", "date", F.col("target").alias("actual"), "predicted")
 
     query(name)(run)
@@ -320,14 +315,14 @@ for _name, _kind in {"ridge_forecast": "linear", "rf_forecast": "random_forest",
 
 @query("boosting_curve")
 def boosting_curve(spark, sf_dir):
-    train, test = split_rows(spark, sf_dir)
-    return explain.boosting_curve(fit("boosted", train, 1, SMALL["boosted"]), train, test)
+    train = written(split_rows(spark, sf_dir)[0], "train")
+    return explain.boosting_curve(fit("boosted", train, 1), train)
 
 
 @query("top_features")
 def top_features(spark, sf_dir):
-    train, _ = split_rows(spark, sf_dir)
-    return explain.top_features(fit("random_forest", train, 1, SMALL["random_forest"]), train)
+    train = written(split_rows(spark, sf_dir)[0], "train")
+    return explain.top_features(fit("random_forest", train, 1), train)
 
 
 @query("linear_attribution")
@@ -336,33 +331,63 @@ def linear_attribution(spark, sf_dir):
     return explain.linear_attribution(fit("linear", train, 1), test)
 
 
+RIDGE_PENALTIES = tuple(10.0 ** (k / 4) for k in range(-8, 16))
+
+
+@query("ridge_walk_forward")
+def ridge_walk_forward(spark, sf_dir):
+    """Five folds, both penalties in use."""
+    return ridge_path.ridge_walk_forward(delta_target(complete_frame(spark, sf_dir), 1), (0.1, 1.0))
+
+
+@query("ridge_search")
+def ridge_search(spark, sf_dir):
+    """24 penalties, five folds, two passes over the rows."""
+    return ridge_path.ridge_search(delta_target(complete_frame(spark, sf_dir), 1), RIDGE_PENALTIES)
+
+
+@query("ridge_gradient", f"""
+select cast(f as int) as fold, cast(a as double) as alpha, c as feature, 0.0::double as gradient
+from range(1, 6) as r(f), (select unnest([0.1, 1.0]) as a), (select unnest({MODEL_FEATURES!r}) as c)""")
+def ridge_gradient(spark, sf_dir):
+    """0 for each fold, penalty and feature, if the coefficients from moments solve the fit."""
+    blocked = written(blocks(delta_target(complete_frame(spark, sf_dir), 1)), "blocked")
+    left = ridge_path.gradients(blocked, ridge_path.fit_path(blocked, (0.1, 1.0)))
+    return left.select("fold", "alpha", "feature", (F.round(F.abs("gradient"), 9) + 0.0).alias("gradient"))
+
+
+# Several fits of ensembles: smaller ones, whose full sizes take many minutes (figures in the README).
+FEW = {"random_forest": {"numTrees": 10, "maxDepth": 6}, "boosted": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 3}}
+
+
 @query("training_run")
 def training_run(spark, sf_dir):
-    scores, _ = training.run(complete_frame(spark, sf_dir), settings=SMALL)
+    scores, _ = training.run(complete_frame(spark, sf_dir), settings=FEW)
     return scores
 
 
 @query("horizon_comparison")
 def horizon_comparison(spark, sf_dir):
-    scores, _ = training.run(complete_frame(spark, sf_dir), kinds=("random_forest", "boosted"), settings=SMALL)
+    scores, _ = training.run(complete_frame(spark, sf_dir), settings=FEW)
     return training.horizon_comparison(scores)
 
 
 @query("walk_forward")
 def walk_forward(spark, sf_dir):
     rows = delta_target(complete_frame(spark, sf_dir), 1)
-    return validation.walk_forward(rows, builder("random_forest", 1, SMALL["random_forest"]))
+    return validation.walk_forward(rows, builder("random_forest", 1, FEW["random_forest"]))
 
 
 @query("grid_search")
 def grid_search(spark, sf_dir):
+    """All combinations of the full grid, five folds, with a twentieth of the trees and a third of their depth."""
     rows = delta_target(complete_frame(spark, sf_dir), 1)
-    grid = validation.combinations({"numTrees": [5, 10], "maxDepth": [3, 5]})
-    return validation.search(rows, "random_forest", 1, grid, n_splits=2)
+    grid = {**validation.FOREST_GRID, "numTrees": [5, 8], "maxDepth": [4, 5]}
+    return validation.search(rows, "random_forest", 1, validation.combinations(grid))
 
 
 @query("random_search")
 def random_search(spark, sf_dir):
     rows = delta_target(complete_frame(spark, sf_dir), 1)
     space = {**validation.FOREST_SPACE, "numTrees": [5, 10], "maxDepth": [3, 5]}
-    return validation.search(rows, "random_forest", 1, validation.sampled(space, 3), n_splits=2)
+    return validation.search(rows, "random_forest", 1, validation.sampled(space, 3))

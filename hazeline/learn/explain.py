@@ -38,12 +38,14 @@ def linear_attribution(model: DeltaForecaster, test: DataFrame) -> DataFrame:
     return sizes.select(F.inline(entries)).orderBy(F.desc("mean_abs"), "feature")
 
 
-def boosting_curve(model: DeltaForecaster, train: DataFrame, test: DataFrame) -> DataFrame:
-    """(round, train_rmse, validation_rmse) for each boosting round."""
-    assembler = model.pipeline.stages[-2]
-    errors = [
-        model.regressor.evaluateEachIteration(assembler.transform(part).select("features", LABEL), "squared")
-        for part in (train, test)
-    ]
-    rows = [(i, float(a) ** 0.5, float(b) ** 0.5) for i, (a, b) in enumerate(zip(*errors), start=1)]
-    return literal_rows(train.sparkSession, rows, "round, train_rmse, validation_rmse")
+def boosting_curve(model: DeltaForecaster, train: DataFrame) -> DataFrame:
+    """(round, train_rmse, validation_rmse, kept) for each round grown: the model keeps the rounds up to the best before
+    patience ran out; later rounds were grown and dropped, and have no error on `train`. Without held-out rows nothing
+    was compared, and there is no round to show."""
+    if not model.errors:
+        return train.sparkSession.createDataFrame([], "round int, train_rmse double, validation_rmse double, kept boolean")
+    assembled = model.pipeline.stages[-2].transform(train).select("features", LABEL)
+    kept = [float(e) ** 0.5 for e in model.regressor.evaluateEachIteration(assembled, "squared")]
+    errors = [float(e) ** 0.5 for e in model.errors]
+    rows = [(i + 1, kept[i] if i < len(kept) else None, e, i < len(kept)) for i, e in enumerate(errors)]
+    return literal_rows(train.sparkSession, rows, "round, train_rmse, validation_rmse, kept")

@@ -6,15 +6,20 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegressionModel, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazeline.learn.boosting import grow
+from hazeline.learn.ridge_path import block_moments, solve
 from hazeline.operators.profile import model_columns, robust_scaling
 from hazeline.operators.splits import tail_flag
 
@@ -27,7 +32,7 @@ MODELS = {
     "linear": {"alpha": 0.1},
     "random_forest": {"numTrees": 200, "maxDepth": 15, "minInstancesPerNode": 2, "seed": 42},
     "boosted": {"maxIter": 1000, "stepSize": 0.03, "maxDepth": 4, "subsamplingRate": 0.7,
-                "featureSubsetStrategy": "0.7", "validationTol": 0.0, "seed": 42},
+                "featureSubsetStrategy": "0.7", "patience": 50, "seed": 42},
 }
 
 
@@ -64,17 +69,18 @@ class RobustScalingModel(Model, _ScalingParams, DefaultParamsReadable, DefaultPa
         return dataset.withColumns({SCALED + c: (F.col(c) - mid) / width for c, mid, width in parts})
 
 
-def ridge(train: DataFrame, alpha: float) -> LinearRegression:
-    """Ridge with an unpenalised intercept and the sum-of-squares loss.
+def ridge(train: DataFrame, features: Sequence[str], scaling: RobustScalingModel, alpha: float) -> LinearRegressionModel:
+    """Ridge on scaled columns with an unpenalised intercept, solved from one pass of moments.
 
-    Spark divides the loss by n and works on a label of unit deviation, so the
-    penalty is alpha * std(label) / n, with the population deviation.
+    The ready-made solver gives up the closed form when a column is constant, as the month is in a short series.
     """
-    stats = train.agg(F.count("*").alias("n"), F.stddev_pop(LABEL).alias("spread")).first()
-    return LinearRegression(
-        labelCol=LABEL, solver="normal", elasticNetParam=0.0, standardization=False,
-        regParam=alpha * (stats["spread"] or 0.0) / stats["n"],
-    )
+    moments = block_moments(train.withColumn("block", F.lit(0)), [*features, LABEL])[0]
+    centres, widths = (np.array(scaling.getOrDefault(p)) for p in ("centres", "widths"))
+    beta, intercept = solve(moments, widths, alpha)
+    jvm = train.sparkSession._jvm
+    vector = _py2java(train.sparkSession.sparkContext, Vectors.dense(beta * widths))
+    uid = jvm.org.apache.spark.ml.util.Identifiable.randomUID("ridge")
+    return LinearRegressionModel(jvm.org.apache.spark.ml.regression.LinearRegressionModel(uid, vector, float(intercept + beta @ centres)))
 
 
 @dataclass
@@ -85,6 +91,7 @@ class DeltaForecaster:
     horizon: int
     features: list[str]
     pipeline: PipelineModel
+    errors: tuple[float, ...] = ()  # of a boosted model: squared error of the held-out tail after each round grown
 
     @property
     def regressor(self):
@@ -97,12 +104,13 @@ class DeltaForecaster:
 
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
-        facts = json.dumps({"kind": self.kind, "horizon": self.horizon, "features": self.features})
+        facts = json.dumps({"kind": self.kind, "horizon": self.horizon, "features": self.features, "errors": self.errors})
         _session().createDataFrame([(facts,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/facts")
 
     @classmethod
     def load(cls, path: str) -> DeltaForecaster:
         facts = json.loads(_session().read.text(f"{path}/facts").first()[0])
+        facts["errors"] = tuple(facts.get("errors", ()))
         return cls(pipeline=PipelineModel.load(f"{path}/pipeline"), **facts)
 
 
@@ -124,20 +132,18 @@ def fit(
     features = list(features or model_columns(train.drop("target")))
     settings = {**MODELS[kind], **(settings or {})}
     if kind == "linear":
-        stages = [
-            RobustScaling(columns=features),
-            VectorAssembler(inputCols=[SCALED + c for c in features], outputCol="features"),
-            ridge(train, settings["alpha"]),
-        ]
-    else:
-        stages = [VectorAssembler(inputCols=features, outputCol="features")]
-        if kind == "random_forest":
-            stages.append(RandomForestRegressor(labelCol=LABEL, **{"featureSubsetStrategy": "all", **settings}))
-        else:
-            train = mark_tail(train)
-            stages.append(GBTRegressor(labelCol=LABEL, validationIndicatorCol=VALIDATION, **settings))
-    needed = [*dict.fromkeys([*features, LABEL]), *([VALIDATION] if kind == "boosted" else [])]
-    return DeltaForecaster(kind, horizon, features, Pipeline(stages=stages).fit(train.select(needed)))
+        scaling = RobustScaling(columns=features).fit(train)
+        assembler = VectorAssembler(inputCols=[SCALED + c for c in features], outputCol="features")
+        model = ridge(train, features, scaling, settings["alpha"])
+        return DeltaForecaster(kind, horizon, features, PipelineModel([scaling, assembler, model]))
+    assembler = VectorAssembler(inputCols=features, outputCol="features")
+    if kind == "boosted":
+        rows = assembler.transform(mark_tail(train).select(*dict.fromkeys([*features, LABEL, VALIDATION])))
+        model, errors = grow(rows, LABEL, VALIDATION, **settings)
+        return DeltaForecaster(kind, horizon, features, PipelineModel([assembler, model]), tuple(errors))
+    forest = RandomForestRegressor(labelCol=LABEL, **{"featureSubsetStrategy": "all", **settings})
+    pipeline = Pipeline(stages=[assembler, forest]).fit(train.select(*dict.fromkeys([*features, LABEL])))
+    return DeltaForecaster(kind, horizon, features, pipeline)
 
 
 Builder = Callable[[DataFrame], DeltaForecaster]

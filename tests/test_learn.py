@@ -1,14 +1,15 @@
 import numpy as np
-import pandas as pd
 import pytest
 from panels import raw_pandas, sorted_pandas, to_spark
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from hazeline.learn import explain, training, validation
+from hazeline.learn import boosting, explain, ridge_path, training, validation
 from hazeline.learn.models import DeltaForecaster, builder, fit
 from hazeline.operators import metrics
 from hazeline.operators.features import add_features
-from hazeline.operators.splits import holdout
+from hazeline.operators.splits import blocks, holdout
 from hazeline.operators.targets import delta_target
 from hazeline.schema import MODEL_FEATURES
 from hazeline.session import written
@@ -129,6 +130,96 @@ def test_explanations(parts, spark):
     x = sample["_scaled_pm10"]
     beta = dict(zip(linear.features, linear.regressor.coefficients))["pm10"]
     assert got.loc["pm10", "mean_abs"] == pytest.approx((beta * (x - x.mean())).abs().mean(), rel=1e-6)
-    curve = explain.boosting_curve(fit("boosted", train, 1, SMALL["boosted"]), train, test).toPandas()
-    assert curve["round"].iloc[0] == 1 and curve.train_rmse.is_monotonic_decreasing
-    assert isinstance(curve, pd.DataFrame)
+
+
+def test_curve_shows_every_round_and_the_best_is_kept(parts, spark):
+    train, _ = parts
+    model = fit("boosted", train, 1, {"maxIter": 60, "maxDepth": 3, "stepSize": 0.5, "patience": 4})
+    explain.boosting_curve(model, train).createOrReplaceTempView("curve")
+    # The kept rounds are those up to the best before four rounds went by without a better one.
+    found = spark.sql("""
+        with best as (select *, min(validation_rmse) over (order by round) as so_far from curve),
+        firsts as (select so_far, min(round) as at from best group by so_far),
+        ran_out as (select min(b.round) as round from best b join firsts f using (so_far) where b.round - f.at >= 4)
+        select (select count(*) from curve) as n, (select max(round) from curve) as last, (select max(round) from curve where kept) as kept,
+          (select min_by(round, validation_rmse) from curve where round <= coalesce((select round from ran_out), 60)) as wanted,
+          (select count(*) from curve where kept and train_rmse is null or not kept and train_rmse is not null) as odd""").first()
+    assert found.n == found.last and found.kept == found.wanted == model.regressor.getNumTrees and found.odd == 0
+    assert found.kept + 4 <= found.n <= 60  # patience ran out, later trees were dropped
+
+
+def test_chosen_round():
+    assert boosting.chosen_round([3, 2, 1, 1, 1, 0.5], 3) == (6, False)
+    assert boosting.chosen_round([3, 2, 1, 1, 1, 1, 0.5], 3) == (3, True)  # a later gain comes too late
+    assert boosting.chosen_round([1.0], 3) == (1, False)
+
+
+def test_first_rounds_are_those_of_a_shorter_fit(parts, tmp_path):
+    train, test = parts
+    rows = VectorAssembler(inputCols=["pm10", "aqi_lag_24h", "hour_sin"], outputCol="features").transform(train).select("features", "target_delta")
+    long_, short = (GBTRegressor(labelCol="target_delta", maxIter=n, maxDepth=3, subsamplingRate=0.7, seed=1).fit(rows) for n in (8, 3))
+    cut = boosting.first_rounds(long_, 3)
+    one, other = (m.transform(rows).select("prediction").toPandas().prediction for m in (cut, short))
+    np.testing.assert_allclose(one, other)
+    assert cut.getNumTrees == 3 and cut.numFeatures == 3
+    forest = RandomForestRegressor(labelCol="target_delta", numTrees=6, seed=1).fit(rows)
+    some = boosting.first_trees(forest, 2)
+    row = rows.first()["features"]
+    assert some.getNumTrees == 2 and some.predict(row) == pytest.approx(np.mean([t.predict(row) for t in forest.trees[:2]]))
+
+
+def test_ridge_of_all_folds_equals_fitting_each(snapshot):
+    rows = delta_target(snapshot, 1)
+    found = ridge_path.ridge_walk_forward(rows, (0.1, 30.0)).toPandas().set_index(["alpha", "fold"]).sort_index()
+    for alpha in (0.1, 30.0):
+        want = validation.walk_forward(rows, builder("linear", 1, {"alpha": alpha})).toPandas().set_index("fold").sort_index()
+        for c in ("n", "r2", "mae", "mse", "rmse", "skill_vs_naive", "naive_r2", "naive_rmse"):
+            np.testing.assert_allclose(found.loc[alpha][c], want[c], rtol=1e-7, err_msg=c)
+    assert len(found) == 10
+    blocked = written(blocks(rows), "blocked")
+    left = ridge_path.gradients(blocked, ridge_path.fit_path(blocked, (0.1, 30.0))).toPandas()
+    assert len(left) == 2 * 5 * len(MODEL_FEATURES) and left.gradient.abs().max() < 1e-9
+    best = ridge_path.ridge_search(rows, (0.1, 30.0)).toPandas()
+    assert best.mean_mse[0] == pytest.approx(min(found.loc[a]["mse"].mean() for a in (0.1, 30.0)))
+
+
+def test_moments_merge():
+    x = np.random.default_rng(4).normal(1e6, 1, (500, 3))
+    whole, parts = ridge_path.Moments.of(x), [ridge_path.Moments.of(p) for p in np.array_split(x, 7)]
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    np.testing.assert_allclose(total.products, whole.products, rtol=1e-9, atol=1e-6)
+    np.testing.assert_allclose(total.mean, whole.mean)
+
+
+def test_search_goes_on_from_stored_scores(snapshot, spark, tmp_path, monkeypatch):
+    rows = delta_target(snapshot, 1)
+    grid = validation.combinations({"numTrees": [2, 4], "maxDepth": [2, 3]})
+    scores = validation.TrialScores(spark, str(tmp_path / "scores"), "panel")
+    fits, real = [], validation.fit
+
+    def some_fits(*args):
+        fits.append(args[3])
+        if len(fits) == 4:
+            raise RuntimeError("executor lost")
+        return real(*args)
+
+    monkeypatch.setattr(validation, "fit", some_fits)
+    with pytest.raises(RuntimeError):
+        validation.search(rows, "random_forest", 1, grid, n_splits=3, scores=scores, parallel=1)
+    kept = scores.done()
+    assert len(kept) in (6, 8)  # three fits, each scored at both sizes, and perhaps the next one
+    before = len(fits)
+    found = validation.search(rows, "random_forest", 1, grid, n_splits=3, scores=scores, parallel=1).toPandas()
+    assert len(fits) - before == 6 - len(kept) // 2 and all(s["numTrees"] == 4 for s in fits)  # only fits without scores ran
+    assert len(found) == 4 and (found.folds == 3).all() and len(scores.done()) == 12
+    again = validation.search(rows, "random_forest", 1, grid, n_splits=3, scores=scores, parallel=1).toPandas()
+    assert again.equals(found) and len(fits) - before == 6 - len(kept) // 2
+
+
+def test_boosted_search(snapshot):
+    rows = delta_target(snapshot, 1)
+    some = [{**s, "maxIter": n} for s in validation.sampled(validation.BOOSTED_SPACE, 1) for n in (2, 4)]
+    found = validation.search(rows, "boosted", 1, [{**s, "maxDepth": 2} for s in some], n_splits=2).toPandas()
+    assert list(found.folds) == [2, 2] and found.mean_rmse.notna().all()
