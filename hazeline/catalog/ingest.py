@@ -20,7 +20,9 @@ from hazeline.session import scratch_path, written
 from hazeline.sources.cities import locate, unknown_cities
 from hazeline.sources.feature_table import FeatureTable, training_snapshot
 from hazeline.sources.files import merge_readings, read_csv, write_csv
+from hazeline.sources import landed
 from hazeline.sources.payloads import explode_hourly, latest_reading, merge_current, to_payloads
+from hazeline.streaming.current import follow_current, read_current
 from hazeline.streaming.refresh import refresh_stream
 
 # ---- sources ----------------------------------------------------------------
@@ -44,6 +46,67 @@ def explode_hourly_payload(spark, sf_dir):
     return explode_hourly(to_payloads(air(spark, sf_dir), AIR_VARIABLES, zone), AIR_VARIABLES)
 
 
+# Landed payload files: a broken line for each Sunday of Delhi, a wrong length for each fifth day of London, no such zone
+# for Beijing on days that seven divides.
+def land_payloads(spark, sf_dir) -> str:
+    path = scratch_path(spark, "landing")
+    zone = F.element_at(F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair]), F.col("city"))
+    rows = landed.to_hourly_payloads(to_payloads(air(spark, sf_dir), AIR_VARIABLES, zone), AIR_VARIABLES)
+    day = F.to_date(F.timestamp_seconds("hourly.time"))
+    in_london = (F.col("city") == "London") & (F.dayofmonth(day) % 5 == 0)
+    short = F.col("hourly").withField("ozone", F.when(in_london, F.slice("hourly.ozone", 1, 23)).otherwise(F.col("hourly.ozone")))
+    lost = (F.col("city") == "Beijing") & (F.dayofmonth(day) % 7 == 0)
+    rows = rows.withColumns({"hourly": short, "timezone": F.when(lost, "Nowhere/Land").otherwise(F.col("timezone"))})
+    line = F.to_json(F.struct("city", "latitude", "longitude", "timezone", "hourly"))
+    cut = (F.col("city") == "Delhi") & (F.weekday(day) == 6)
+    rows.select(F.when(cut, F.substring(line, 1, 60)).otherwise(line).alias("value")).write.text(path)
+    return path
+
+
+LANDED_SQL = PANEL_SQL + """,
+days as (select distinct city, lat, lon, cast(date as date) as day from panel),
+judged as (select *, case when city = 'Delhi' and isodow(day) = 7 then 'not a payload' when city = 'Beijing' and day(day) % 7 = 0 then 'unknown zone'
+  when city = 'London' and day(day) % 5 = 0 then 'arrays of other lengths than the steps' end as reason from days)"""
+
+
+@query("ingest_payloads", LANDED_SQL + f"""
+select cast(j.day as timestamp) + to_hours(cast(h as int)) as date, j.city, j.lat, j.lon, {', '.join(f'p.{c}' for c in AIR_VARIABLES)}
+from judged j cross join range(24) as r(h) left join panel p on p.city = j.city and p.date = cast(j.day as timestamp) + to_hours(cast(h as int))
+where j.reason is null""")
+def ingest_payloads(spark, sf_dir):
+    """Payload files to table rows, twice: the second run changes nothing."""
+    path, rejected = land_payloads(spark, sf_dir), scratch_path(spark, "rejected")
+    table = raw_table(spark, [*KEYS, *AIR_VARIABLES])
+    for _ in range(2):
+        landed.ingest(spark, path, table, AIR_VARIABLES, rejected)
+    return table.read().select(*KEYS, *AIR_VARIABLES)
+
+
+@query("rejected_payloads", LANDED_SQL + """
+select reason, case when reason <> 'not a payload' then city end as city, count(*) as n from judged where reason is not null group by 1, 2""")
+def rejected_payloads(spark, sf_dir):
+    payloads = landed.reader(spark, landed.hourly_schema(AIR_VARIABLES)).load(land_payloads(spark, sf_dir))
+    _, bad = landed.sorted_out(written(payloads, "payloads"), "hourly", AIR_VARIABLES)
+    return bad.groupBy("reason", F.when(F.col("reason") != "not a payload", F.col("city")).alias("city")).agg(F.count("*").alias("n"))
+
+
+@query("current_stream", PANEL_SQL + f"""
+select date + case city when 'Beijing' then interval 480 minute when 'Delhi' then interval 330 minute
+    when 'London' then interval 0 minute else interval 300 minute end as date, city, lat, lon, {', '.join(f'{c} as now_{c}' for c in AIR_VARIABLES)}
+from (select *, row_number() over (partition by city order by date desc) as rn from panel) where rn = 1""")
+def current_stream(spark, sf_dir):
+    """The last hours arrive first, then all others, and a few again."""
+    base = scratch_path(spark, "current")
+    zone = F.element_at(F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair]), F.col("city"))
+    current = F.struct(F.unix_seconds(F.col("date").cast("timestamp")).alias("time"), *AIR_VARIABLES)
+    rows = air(spark, sf_dir).select("date", "city", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), zone.alias("timezone"), current.alias("current"))
+    cut = F.lit("2024-01-20").cast("timestamp_ntz")
+    for part in (rows.where(F.col("date") >= cut), rows.where(F.col("date") < cut), rows.where(F.hour("date") == 3)):
+        part.drop("date").write.mode("append").json(f"{base}/landing")
+        follow_current(spark, f"{base}/landing", AIR_VARIABLES, f"{base}/table", f"{base}/checkpoint", prefix="now_").awaitTermination()
+    return read_current(spark, f"{base}/table")
+
+
 @query("latest_reading", PANEL_SQL + f"""
 select city, date, {', '.join(AIR_VARIABLES)}
 from (select *, row_number() over (partition by city order by date desc) as rn from panel) where rn = 1""")
