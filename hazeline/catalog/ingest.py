@@ -243,7 +243,7 @@ def streaming_refresh(spark, sf_dir):
 def streamed(spark, rows):
     base = scratch_path(spark, "stream")
     rows = rows.select(*RAW_COLUMNS)
-    raw = FeatureTable.get_or_create(spark, f"{base}/tables", "raw", 1, RAW_SCHEMA)
+    raw = FeatureTable.get_or_create(spark, f"{base}/tables", "raw", 1, RAW_SCHEMA, counted=True)
     features = FeatureTable.get_or_create(spark, f"{base}/tables", "features", 1, FEATURE_SCHEMA)
     cut = F.lit("2024-01-22").cast("timestamp_ntz")
     for part in (rows.where(F.col("date") < cut), rows.where(F.col("date") >= cut)):

@@ -1,17 +1,20 @@
-"""Versioned feature tables as Parquet, partitioned by day.
+"""Versioned feature tables as Parquet, in parts by day and bucket of cities.
 
-Layout: `<root>/<name>/v<version>/day=YYYY-MM-DD/`, with the declared schema and
-keys beside it. Days bound both the size of a partition and what an upsert
-rewrites; within a day, files are ordered by city so that row groups skip.
+Layout of `<root>/<name>/v<version>/`: `meta/` has the declared schema and keys, `data/commit=<label>/day=/bucket=` the
+rows, `live/<label>` which commit holds each part, and `commits/<number>` the label of each commit in turn. An upsert
+rewrites the parts it touches into a commit of its own and never a file that is there already; it counts once its number
+is taken, which is one file created if it doesn't exist. A run that dies before leaves files that nobody reads.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +37,21 @@ def table_versions(spark: SparkSession, root: str, name: str) -> list[int]:
     return sorted(int(m.group(1)) for m in matches if m)
 
 
+BUCKETS = 4
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+Part = tuple[str, int]  # day, bucket
+
+
+def utc_clock(instant: Column) -> Column:
+    """The UTC clock of an instant, whatever the zone of the session; exact in hours that a zone repeats."""
+    micros = F.unix_micros(instant)
+    day = F.lit(86_400_000_000)
+    whole = F.floor(micros / day).cast("int")
+    rest = F.pmod(micros, day)
+    seconds = (rest.cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(whole, F.lit(0), F.lit(0), seconds)
+
+
 @dataclass
 class FeatureTable:
     spark: SparkSession
@@ -43,48 +61,101 @@ class FeatureTable:
     schema: T.StructType
     primary_key: list[str]
     event_time: str
+    counted: bool = False
 
     @property
     def path(self) -> str:
         return f"{self.root}/{self.name}/v{self.version}"
 
     @classmethod
-    def get_or_create(cls, spark, root, name, version, schema=None, primary_key=("city", "date"), event_time="date"):
-        """The table at exactly this version; created empty if it is not there."""
+    def get_or_create(cls, spark, root, name, version, schema=None, primary_key=("city", "date"), event_time="date", counted=False):
+        """The table at exactly this version; created empty if it is not there. `counted` keeps rows per city and day."""
         if version in table_versions(spark, root, name):
-            meta = spark.read.json(f"{root}/{name}/v{version}/_meta").first()
-            stored = T.StructType.fromJson(json.loads(meta["schema"]))
-            return cls(spark, root, name, version, stored, list(meta["primary_key"]), meta["event_time"])
+            path = f"{root}/{name}/v{version}/meta"
+            done = [m for m in sorted(child_names(spark, path)) if "_SUCCESS" in child_names(spark, f"{path}/{m}")]
+            if done:
+                meta = spark.read.json(f"{path}/{done[-1]}").first()
+                stored = T.StructType.fromJson(json.loads(meta["schema"]))
+                return cls(spark, root, name, version, stored, list(meta["primary_key"]), meta["event_time"], meta["counted"])
         if schema is None:
             raise ValueError(f"{name} v{version} does not exist and no schema was given")
-        table = cls(spark, root, name, version, schema, list(primary_key), event_time)
+        table = cls(spark, root, name, version, schema, list(primary_key), event_time, counted)
         table._write_meta()
         return table
 
     @classmethod
-    def new_version(cls, spark, root, name, schema, primary_key=("city", "date"), event_time="date"):
+    def new_version(cls, spark, root, name, schema, primary_key=("city", "date"), event_time="date", counted=False):
         following = max(table_versions(spark, root, name), default=0) + 1
-        return cls.get_or_create(spark, root, name, following, schema, primary_key, event_time)
+        return cls.get_or_create(spark, root, name, following, schema, primary_key, event_time, counted)
 
     def _write_meta(self) -> None:
-        row = [(self.schema.json(), self.primary_key, self.event_time)]
-        meta = self.spark.createDataFrame(row, "schema string, primary_key array<string>, event_time string")
-        meta.coalesce(1).write.mode("overwrite").json(f"{self.path}/_meta")
-
-    def _stored(self) -> DataFrame:
-        """Stored rows with their `day` and arrival time; no file yet reads as no row."""
-        full = T.StructType(
-            self.schema.fields + [T.StructField(INGESTED, T.TimestampNTZType()), T.StructField("day", T.DateType())]
-        )
-        return self.spark.read.schema(full).option("basePath", self.path).parquet(self.path)
+        """The description in a folder of its own; the last finished one holds."""
+        row = [(self.schema.json(), self.primary_key, self.event_time, self.counted)]
+        meta = self.spark.createDataFrame(row, "schema string, primary_key array<string>, event_time string, counted boolean")
+        number = len(child_names(self.spark, f"{self.path}/meta"))
+        meta.coalesce(1).write.json(f"{self.path}/meta/{number:06d}")
+
+    # ---- commits ----
+
+    def _file(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _label(self, number: int) -> str | None:
+        files, path = self._file(f"commits/{number:012d}")
+        stream = files.open(path)
+        try:
+            label = bytes(stream.readNBytes(32)).decode()
+        finally:
+            stream.close()
+        return label if len(label) == 32 else None  # None: its writer died while taking the number
+
+    def latest(self) -> tuple[int, dict[Part, str]]:
+        """Number of the last commit, and the label that holds each part: one row for each day and bucket."""
+        numbers = sorted((int(c) for c in child_names(self.spark, f"{self.path}/commits") if c.isdigit()), reverse=True)
+        label = next((x for x in map(self._label, numbers) if x), None)
+        rows = self.spark.read.schema("day string, bucket int, label string").parquet(f"{self.path}/live/{label}").collect() if label else []
+        return (numbers[0] if numbers else 0), {(r["day"], r["bucket"]): r["label"] for r in rows}
+
+    def _publish(self, number: int, label: str) -> bool:
+        """Take a number; False if another writer has it."""
+        files, path = self._file(f"commits/{number:012d}")
+        try:
+            stream = files.create(path, False)
+        except Py4JJavaError:
+            if files.exists(path):
+                return False
+            raise
+        stream.write(bytearray(label.encode()))
+        stream.close()
+        return True
+
+    # ---- rows ----
+
+    def _parts(self, folder: str, fields: list[T.StructField], live: dict[Part, str]) -> DataFrame:
+        """Rows of these parts; no part reads as no row."""
+        full = T.StructType([*fields, T.StructField("commit", T.StringType()), T.StructField("day", T.DateType()), T.StructField("bucket", T.IntegerType())])
+        paths = [f"{self.path}/{folder}/commit={label}/day={day or NO_DAY}/bucket={bucket}" for (day, bucket), label in live.items()]
+        if not paths:
+            return self.spark.createDataFrame([], full).drop("commit")
+        return self.spark.read.schema(full).option("basePath", f"{self.path}/{folder}").parquet(*paths).drop("commit")
 
     def read(self, start: str | None = None, end: str | None = None) -> DataFrame:
-        """Rows of the table; a range prunes to its day partitions."""
-        rows = self._stored()
+        """Rows of the table as of now; a range reads the parts of its days only. Later upserts don't change them."""
+        _, live = self.latest()
         if start is not None and end is not None:
-            rows = rows.where(F.col("day").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-            rows = between_days(rows, start, end, self.event_time)
-        return rows.select(self.schema.names)
+            first, last = start[:10], end[:10]
+            live = {part: label for part, label in live.items() if part[0] and first <= part[0] <= last}
+            return between_days(self._rows(live), first, last, self.event_time).select(self.schema.names)
+        return self._rows(live).select(self.schema.names)
+
+    def _rows(self, live: dict[Part, str]) -> DataFrame:
+        return self._parts("data", [*self.schema.fields, T.StructField(INGESTED, T.TimestampNTZType())], live)
+
+    def counts(self) -> DataFrame:
+        """(city, day, n): rows of each city and day, kept beside the rows of a `counted` table."""
+        city = T.StructField(self.primary_key[0], self.schema[self.primary_key[0]].dataType)
+        return self._parts("counts", [city, T.StructField("n", T.LongType())], self.latest()[1]).drop("bucket")
 
     def append_columns(self, fields: list[T.StructField]) -> None:
         """Declare more columns; rows written before read as null there."""
@@ -95,37 +166,56 @@ class FeatureTable:
     def upsert(self, df: DataFrame) -> None:
         """Insert rows; a row with a known key replaces the stored one.
 
-        Only the days present in `df` are read back and rewritten. Rows within
-        the batch that share a key resolve to one, by content if they arrive
-        together, so a repeated run leaves the same table.
+        Only the days and buckets present in `df` are read back and rewritten. Rows within the batch that share a key
+        resolve to one, by content if they arrive together, so a repeated run leaves the same table. An event time with
+        a zone becomes its UTC clock. If another writer commits meanwhile, the touched parts are read and written again.
         """
-        key_date = F.col(self.event_time).cast("timestamp_ntz")  # microseconds, zone-free
+        kind = dict(df.dtypes)[self.event_time]
+        key_date = utc_clock(F.col(self.event_time)) if kind == "timestamp" else F.col(self.event_time).cast("timestamp_ntz")
         # Written first: the batch is read twice and may be costly to compute.
         batch = written(
-            df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
-                        else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-            .withColumn(self.event_time, key_date)
-            .withColumn(INGESTED, F.current_timestamp().cast("timestamp_ntz"))
-            .withColumn("day", F.to_date(self.event_time)),
+            df.withColumn(self.event_time, key_date)
+            .select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
+                      else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+            .withColumn(INGESTED, utc_clock(F.current_timestamp()))
+            .withColumn("day", F.to_date(self.event_time))
+            .withColumn("bucket", F.pmod(F.xxhash64(self.primary_key[0]), F.lit(BUCKETS)).cast("int")),
             "upsert",
-        ).withColumn("_new", F.lit(1))
-        days = [row["day"] for row in batch.select("day").distinct().collect()]  # bounded by the range of dates
-        if not days:
-            return
-        stored = self._stored().where(F.col("day").isin(days)).withColumn("_new", F.lit(0))
-        both = stored.unionByName(batch)
-        # Spark cuts each key to its first row before the shuffle too, so many
-        # copies of one key do not meet in one task.
-        newest = Window.partitionBy(*self.primary_key).orderBy(
-            F.col("_new").desc(), F.col(INGESTED).desc(), F.xxhash64(*self.schema.names)
-        )
-        kept = both.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn", "_new")
-        (
-            kept.hint("rebalance", "day")
-            .sortWithinPartitions("day", *self.primary_key)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day").parquet(self.path)
         )
+        touched = {(r["day"] and str(r["day"]), r["bucket"]) for r in batch.select("day", "bucket").distinct().collect()}  # bounded by days and buckets
+        while touched:
+            number, live = self.latest()
+            label = uuid.uuid4().hex
+            stored = self._rows({part: live[part] for part in touched if part in live}).withColumn("_new", F.lit(0))
+            both = stored.unionByName(batch.withColumn("_new", F.lit(1)))
+            # Spark cuts each key to its first row before the shuffle too, so many
+            # copies of one key do not meet in one task.
+            newest = Window.partitionBy(*self.primary_key).orderBy(
+                F.col("_new").desc(), F.col(INGESTED).desc(), F.xxhash64(*self.schema.names)
+            )
+            kept = both.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn", "_new")
+            data = f"{self.path}/data/commit={label}"
+            (
+                kept.hint("rebalance", "day", "bucket").sortWithinPartitions("day", "bucket", *self.primary_key)
+                .write.partitionBy("day", "bucket").parquet(data)
+            )
+            mine = dict.fromkeys(touched, label)
+            if self.counted:
+                rows = self._rows(mine).groupBy(self.primary_key[0], "day", "bucket").agg(F.count("*").alias("n"))
+                rows.coalesce(1).write.partitionBy("day", "bucket").parquet(f"{self.path}/counts/commit={label}")
+            parts = [(day, bucket, x) for (day, bucket), x in {**live, **mine}.items()]
+            self.spark.createDataFrame(parts, "day string, bucket int, label string").coalesce(1).write.parquet(f"{self.path}/live/{label}")
+            if self._publish(number + 1, label):
+                return
+
+    def vacuum(self) -> None:
+        """Delete commits that hold no part any more. Not while others read or write the table."""
+        used = set(self.latest()[1].values())
+        for folder in ("data", "counts"):
+            for name in child_names(self.spark, f"{self.path}/{folder}"):
+                if name.startswith("commit=") and name.removeprefix("commit=") not in used:
+                    files, path = self._file(f"{folder}/{name}")
+                    files.delete(path, True)
 
 
 def training_snapshot(table: FeatureTable, start: str, end: str, name: str) -> tuple[int, DataFrame]:

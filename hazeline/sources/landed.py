@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazeline.session import written
-from hazeline.sources.feature_table import FeatureTable
+from hazeline.sources.feature_table import FeatureTable, utc_clock
 from hazeline.sources.files import clean
 from hazeline.sources.payloads import explode_hourly
 
@@ -92,7 +92,7 @@ def current_rows(payloads: DataFrame, variables: Sequence[str], prefix: str = ""
 
     Readings get `prefix` before their names, so that blocks of several providers can stand side by side.
     """
-    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds("current.time").cast("timestamp_ntz"))
+    utc = utc_clock(F.timestamp_seconds("current.time"))
     rows = payloads.select(
         F.convert_timezone(F.lit("UTC"), F.col("timezone"), utc).alias("date"), "city", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"),
         *(F.col(f"current.{v}").alias(f"{prefix}{v}") for v in variables), F.col("current.time").alias("time"))

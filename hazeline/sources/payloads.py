@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazeline.sources.feature_table import utc_clock
+
 
 def explode_hourly(payloads: DataFrame, variables: Sequence[str]) -> DataFrame:
     """One row per time step.
@@ -29,10 +31,6 @@ def explode_hourly(payloads: DataFrame, variables: Sequence[str]) -> DataFrame:
     )
 
 
-def utc_clock(instant):
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
-
-
 def latest_reading(df: DataFrame) -> DataFrame:
     """The newest row per city; `max_by` combines map-side, so a long city is no hot spot."""
     rest = [c for c in df.columns if c != "city"]

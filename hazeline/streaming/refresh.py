@@ -29,19 +29,20 @@ def apply_batch(
     # Rows before the batch gain targets from it, rows after it look back on it; and
     # both need the frames and targets at their own edges.
     back, ahead = WARMUP_ROWS, 24 * horizon
-    reach = written(reached_days(raw.read(), spans, back, ahead), "reach")
+    counts = raw.counts() if raw.counted else raw.read().groupBy("city", F.to_date("date").alias("day")).agg(F.count("*").alias("n"))
+    reach = written(reached_days(counts, spans, back, ahead), "reach")
     ends = reach.agg(F.min("read_from").alias("start"), F.max("read_to").alias("end")).first()
     rows = raw.read(str(ends["start"]), str(ends["end"])).join(reach.select("city"), "city", "left_semi")
     found = complete_rows(add_features(rows, horizon)).join(reach, "city").where(F.to_date("date").between(F.col("from"), F.col("to")))
     features.upsert(found.select(features.schema.names))
 
 
-def reached_days(rows: DataFrame, spans: DataFrame, back: int, ahead: int) -> DataFrame:
+def reached_days(counts: DataFrame, spans: DataFrame, back: int, ahead: int) -> DataFrame:
     """(city, read_from, from, to, read_to): the days whose features a batch can change, and the days to read for them.
 
-    Frames count rows, so the days are found from the rows of each city and day, not from the calendar.
+    Frames count rows, so the days are found from the rows (city, day, n) of each city and day, not from the calendar.
     """
-    counts = rows.groupBy("city", F.to_date("date").alias("day")).agg(F.count("*").alias("n")).join(spans, "city")
+    counts = counts.join(spans, "city")
     before = counts.where(F.col("day") < F.to_date("first")).withColumn(
         "rows", F.sum("n").over(Window.partitionBy("city").orderBy(F.desc("day"))))
     after = counts.where(F.col("day") > F.to_date("last")).withColumn("rows", F.sum("n").over(Window.partitionBy("city").orderBy("day")))

@@ -177,3 +177,63 @@ def test_choices(spark):
     assert chosen == {1: "c", 2: "a"}
     won = {r["horizon"]: r["model"] for r in training_winner(df, ["a", "b", "c"]).collect()}
     assert won == {1: "b", 2: "a"}
+
+
+# ---- commits of a table -----------------------------------------------------
+
+def test_a_crash_before_the_commit_changes_nothing(spark, raw_df, tmp_path, monkeypatch):
+    table = FeatureTable.get_or_create(spark, str(tmp_path), "t", 1, SMALL)
+    table.upsert(raw_df)
+    before, held = sorted_pandas(table.read()), table.read()
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    newer = raw_df.withColumn("pm10", F.lit(-1.0))
+    with monkeypatch.context() as m:
+        m.setattr(FeatureTable, "_publish", lost)
+        with pytest.raises(RuntimeError):
+            table.upsert(newer)
+    assert sorted_pandas(table.read()).equals(before)
+    table.upsert(newer)
+    assert table.read().where("pm10 <> -1").isEmpty() and sorted_pandas(held).equals(before)  # files that are read stay
+    table.vacuum()
+    assert table.read().count() == len(before)
+    (tmp_path / "t" / "v1" / "commits" / "000000000003").touch()  # a writer that died while it took its number
+    table.upsert(newer.withColumn("pm10", F.lit(-2.0)))
+    assert table.read().where("pm10 <> -2").isEmpty()
+
+
+def test_a_second_writer_loses_no_rows(spark, raw_df, tmp_path, monkeypatch):
+    one, other = (FeatureTable.get_or_create(spark, str(tmp_path), "t", 1, SMALL) for _ in range(2))
+    real, turns = FeatureTable._publish, []
+
+    def meanwhile(self, number, label):
+        if not turns:  # the other writer commits rows of the same days first
+            turns.append(number)
+            other.upsert(raw_df.where("city = 'Karachi'"))
+        return real(self, number, label)
+
+    monkeypatch.setattr(FeatureTable, "_publish", meanwhile)
+    one.upsert(raw_df.where("city = 'Lahore'"))
+    assert one.read().count() == other.read().count() == raw_df.count()
+
+
+def test_an_upsert_rewrites_touched_parts_only(spark, raw_df, tmp_path):
+    table = FeatureTable.get_or_create(spark, str(tmp_path), "t", 1, SMALL, counted=True)
+    table.upsert(raw_df)
+    _, before = table.latest()
+    table.upsert(raw_df.where("city = 'Lahore' and date between '2026-01-03' and '2026-01-04 23:00'").withColumn("pm10", F.lit(0.0)))
+    _, after = table.latest()
+    changed = {part for part in after if after[part] != before[part]}
+    assert {day for day, _ in changed} == {"2026-01-03", "2026-01-04"} and len({bucket for _, bucket in changed}) == 1
+    assert table.read().where("pm10 = 0").count() == 48
+    want = {(r["city"], r["day"]): r["n"] for r in table.read().groupBy("city", F.to_date("date").alias("day")).agg(F.count("*").alias("n")).collect()}
+    assert {(r["city"], r["day"]): r["n"] for r in table.counts().collect()} == want
+
+
+def test_a_range_reads_its_days_only(spark, raw_df, tmp_path):
+    table = FeatureTable.get_or_create(spark, str(tmp_path), "t", 1, SMALL)
+    table.upsert(raw_df)
+    files = table.read("2026-01-03", "2026-01-04").inputFiles()
+    assert files and all("day=2026-01-03" in f or "day=2026-01-04" in f for f in files)
