@@ -1,9 +1,9 @@
 """Exact interpolated quantiles without holding a group's values in one task.
 
-The built-in exact percentile keeps every distinct value of a group in one
-buffer. Here a sketch first brackets each wanted rank; a second pass counts
-the values outside the brackets and keeps only those inside, by distinct value.
-Both passes combine map-side, so a group that holds all rows is no hot spot.
+The built-in exact percentile keeps every distinct value of a group in one buffer. Here a sketch first brackets each
+wanted rank. While a bracket may hold more values than one task should see, a further pass counts what lies below and
+inside it and narrows it by the quantiles of what is inside. The last pass keeps the values inside, by distinct value.
+All passes combine map-side, so a group that holds all rows is no hot spot.
 """
 
 from __future__ import annotations
@@ -18,12 +18,47 @@ from pyspark.sql import functions as F
 from hazeline.session import written
 
 ACCURACY = 20000  # a bracket holds about 4/ACCURACY of a group
+MOST_INSIDE = 1 << 20  # values of a group inside its brackets that the last pass may order in one task
+CUTS = 128  # parts into which a pass cuts a bracket
+
+
+def narrowed(data: DataFrame, brackets: DataFrame, keys: Sequence[str], probs: Sequence[float], most: int, accuracy: int) -> DataFrame:
+    """Brackets of at most `most` values for each wanted rank, or of one value that repeats. Stored.
+
+    A pass keeps about two of the `CUTS` parts of a bracket, so there are few even for the largest group.
+    """
+    count = range(len(probs))
+    grid = [i / CUTS for i in range(CUTS + 1)]
+    inside = [F.col("_v").between(F.col(f"_low{i}"), F.col(f"_high{i}")) for i in count]
+    while True:
+        sums = data.join(brackets, list(keys)).groupBy(*keys, "_n", *[f"_{e}{i}" for i in count for e in ("low", "high")]).agg(
+            *[F.count_if(F.col("_v") < F.col(f"_low{i}")).alias(f"_below{i}") for i in count],
+            *[F.count_if(inside[i]).alias(f"_in{i}") for i in count],
+            *[F.percentile_approx(F.when(inside[i], F.col("_v")), grid, max(accuracy, 8 * CUTS)).alias(f"_grid{i}") for i in count],
+        )
+        sums = written(sums, "brackets")
+        wide = [(F.col(f"_in{i}") > most) & (F.col(f"_low{i}") < F.col(f"_high{i}")) for i in count]
+        if sums.where(reduce(or_, wide)).isEmpty():
+            return sums.select(*brackets.columns)
+        edges = {}
+        for i, p in enumerate(probs):
+            rank = F.floor((F.col("_n") - 1) * p) - F.col(f"_below{i}")  # inside the bracket
+            first = F.greatest(F.floor(rank / F.col(f"_in{i}") * CUTS) - 1, F.lit(0))
+            last = F.least(F.ceil((rank + 2) / F.col(f"_in{i}") * CUTS) + 1, F.lit(CUTS))
+            edges[f"_low{i}"] = F.when(first > 0, F.get(f"_grid{i}", first.cast("int"))).otherwise(F.col(f"_low{i}"))
+            edges[f"_high{i}"] = F.when(last < CUTS, F.get(f"_grid{i}", last.cast("int"))).otherwise(F.col(f"_high{i}"))
+        tighter = sums.select(*keys, "_n", *[F.when(wide[i], edges[f"_{e}{i}"]).otherwise(F.col(f"_{e}{i}")).alias(f"_{e}{i}") for i in count for e in ("low", "high")])
+        brackets = written(tighter.select(*brackets.columns), "brackets")
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], probs: Sequence[float], value: str = "value", accuracy: int = ACCURACY
+    df: DataFrame, keys: Sequence[str], probs: Sequence[float], value: str = "value", accuracy: int = ACCURACY,
+    most_inside: int = MOST_INSIDE,
 ) -> DataFrame:
-    """(keys, prob, n, quantile) with linear interpolation between order statistics."""
+    """(keys, prob, n, quantile) with linear interpolation between order statistics.
+
+    Groups without a value give no row. `most_inside` bounds what one task orders for each group and probability.
+    """
     data = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     margin = 2.0 / accuracy  # twice the sketch's rank error
     edges = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
@@ -39,6 +74,9 @@ def exact_quantiles(
         ),
         "brackets",
     )
+    largest = brackets.agg(F.max("_n")).first()[0] or 0
+    if largest * 2 * margin > most_inside:  # the sketch alone doesn't bound what lies inside
+        brackets = narrowed(data, brackets, keys, probs, most_inside, accuracy)
     inside = reduce(or_, [F.col("_v").between(F.col(f"_low{i}"), F.col(f"_high{i}")) for i in count])
     below = reduce(add, [F.when(F.col(f"_high{i}") < F.col("_v"), 1).otherwise(0) for i in count])
     placed = data.join(brackets, list(keys)).select(

@@ -5,7 +5,8 @@ from panels import raw_pandas, to_spark
 from pyspark.sql import functions as F
 
 from hazeline.operators import profile
-from hazeline.operators.quantiles import exact_quantiles
+from hazeline.operators.profile import autocorrelation
+from hazeline.operators.quantiles import exact_quantiles, narrowed
 from hazeline.schema import CAPPED_COLUMNS, MEASURES
 
 PROBS = [0.0, 0.005, 0.25, 0.5, 0.75, 0.995, 1.0]
@@ -110,3 +111,32 @@ def test_autocorrelation(spark, raw, chunk_rows):
 def test_numeric_columns_leave_keys_out(raw_df):
     assert profile.numeric_columns(raw_df) == MEASURES
     assert isinstance(profile.reference_stats(raw_df).toPandas(), pd.DataFrame)
+
+
+def test_brackets_are_narrowed_until_few_values_remain(spark):
+    """Coarse sketches and a low bound: several passes, the same quantiles, and no task orders more than the bound."""
+    rng = np.random.default_rng(12)
+    groups = {"flat": rng.normal(size=6000), "ties": rng.integers(0, 3, 4000).astype(float), "long": rng.exponential(size=9000).cumsum(), "one": np.array([7.0])}
+    rows = spark.createDataFrame([(g, float(v)) for g, values in groups.items() for v in values], "g string, value double")
+    probs = [0.0, 0.25, 0.5, 0.995, 1.0]
+    got = {(r.g, r.prob): r.quantile for r in exact_quantiles(rows, ["g"], probs, accuracy=40, most_inside=30).collect()}
+    assert got == {(g, p): pytest.approx(np.quantile(v, p), rel=1e-12) for g, v in groups.items() for p in probs}
+    start = rows.groupBy("g").agg(F.count("*").alias("_n"), F.min("value").alias("_low0"), F.max("value").alias("_high0"))
+    near = narrowed(rows.withColumnRenamed("value", "_v"), start, ["g"], [0.5], 30, 1000).collect()
+    for r in near:
+        inside = ((groups[r.g] >= r._low0) & (groups[r.g] <= r._high0)).sum()
+        assert inside <= 30 or r._low0 == r._high0
+        assert r._low0 <= np.quantile(groups[r.g], 0.5) <= r._high0
+
+
+def test_autocorrelation_of_unlike_series(spark):
+    rng = np.random.default_rng(13)
+    start = pd.Timestamp("2026-01-01")
+    values = {"far": 1e5 + rng.normal(size=700).cumsum(), "short": rng.normal(size=5), "flat": np.full(90, 3.25)}
+    rows = spark.createDataFrame([(c, (start + pd.Timedelta(hours=i)).to_pydatetime(), float(x)) for c, v in values.items() for i, x in enumerate(v)], "city string, date timestamp_ntz, european_aqi double")
+    got = {(r.city, r.lag): r.acf for r in autocorrelation(rows, 9, chunk_rows=100).collect()}
+    for c, v in values.items():
+        d = v - v.mean()
+        for k in range(10):
+            want = None if c == "flat" or k >= len(v) else (d[k:] * d[:len(d) - k]).sum() / (d * d).sum()
+            assert got[c, k] == (want if want is None else pytest.approx(want, abs=1e-9))
