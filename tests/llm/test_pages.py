@@ -83,6 +83,12 @@ def test_articles():
     assert main_text("<main><p>kept</p><section id=comments><article class=comment>no</article></section></main>") == "kept"
 
 
+def test_nothing_of_the_article_is_dropped():
+    assert main_text("<article><p>one two</p></article><div class=ad>no</div><article><p>three four five</p></article>") == "one two three four five"
+    assert main_text("<article><p class='share-price'>4.20</p><div class='related-work'>kept</div><div class='related-posts'>no</div><p class='ad'>no</p></article>") == "4.20 kept"
+    assert main_text("<div class='page-header'>no</div><h2><a href=x>A linked heading</a></h2><p>Text of the page.</p><p><a href=y>only a link</a></p>") == "A linked heading Text of the page."
+
+
 def test_broken_and_plain_pages():
     assert main_text(None) == main_text("") == main_text("<!-- only -->") == main_text("<script>x") == ""
     assert main_text("just <b>te</b>xt a < b &lt; <i>x") == "just text a < b < x"
