@@ -257,6 +257,32 @@ def drift_tested(spark, sf_dir):
     return rounded(verdicts(spark, sf_dir), "score")
 
 
+# A reference of one station and at most 456 hours, so that p-values decide; `windy` has two values.
+_small = PANEL_SQL + """,
+rows as (select *, cast(wind_gusts_10m > 0.9 as int)::double as windy from panel where city = 'Lahore'),
+side as (
+  select 'weather_code' as "column", weather_code as value, cast(date < timestamp '2024-01-20' as int) as r, cast(date >= timestamp '2024-01-20' as int) as c from rows
+  union all select 'windy', windy, cast(date < timestamp '2024-01-20' as int), cast(date >= timestamp '2024-01-20' as int) from rows),
+cnt as (select "column", value, sum(r) as r, sum(c) as c from side where value is not null group by 1, 2),
+tot as (select "column", sum(r) as n, sum(c) as m, count(*) filter (r > 0) as k, min(value) filter (r > 0) as v0, count(*) filter (r = 0) as unseen from cnt group by 1),
+stat as (select tot.*, sum((c - r * m / n) ** 2 / (r * m / n)) filter (r > 0) as chi2, sum(r) filter (value = v0) as r0, sum(c) filter (value = v0) as c0
+  from cnt join tot on cnt."column" = tot."column" group by tot."column", n, m, k, v0, unseen),
+z as (select *, abs(r0 / n - c0 / m) / sqrt((r0 + c0) / (n + m) * (1 - (r0 + c0) / (n + m)) * (1 / n + 1 / m)) / sqrt(2) as z_x, sqrt(chi2 / 2) as chi_x from stat),
+e as (select *, case when k <= 2 then z_x else chi_x end as x from z),
+tail as (select *, 1 - 2 / sqrt(pi()) * exp(-x * x) * (select sum(t) from (
+    select exp(j * ln(2) + (2 * j + 1) * ln(greatest(x, 1e-12)) - (lgamma(2 * j + 2) - j * ln(2) - lgamma(j + 1))) as t from range(0, 160) as s(j))) as erfc_x from e),
+p as (select "column", case when k <= 2 then 'z' else 'chi_square' end as method, case when k <= 2 then erfc_x when unseen > 0 then 0
+  when k = 3 then exp(-chi2 / 2) when k = 4 then erfc_x + sqrt(2 * chi2 / pi()) * exp(-chi2 / 2) else exp(-chi2 / 2) * (1 + chi2 / 2) end as score from tail)"""
+
+
+@query("drift_small_reference", _small + f"""
+select "column", method, {s6('score')} as score, score < 0.05 as drifted from p""")
+def drift_small_reference(spark, sf_dir):
+    rows = written(panel(spark, sf_dir).where("city = 'Lahore'").withColumn("windy", (F.col("wind_gusts_10m") > 0.9).cast("double")), "panel")
+    cut = F.lit("2024-01-20").cast("timestamp_ntz")
+    return rounded(drift.column_drift(rows.where(F.col("date") < cut), rows.where(F.col("date") >= cut), ["weather_code", "windy"]), "score")
+
+
 _summary = _verdicts + """,
 summary as (select count(*) as total_columns, count(*) filter (score >= 0.1) as drifted_count,
   count(*) filter (score >= 0.1) / count(*) as share_drifted,

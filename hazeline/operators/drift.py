@@ -82,7 +82,7 @@ def cumulative_gaps(sliced: DataFrame, totals: DataFrame) -> DataFrame:
         F.sum("ref").over(upto).alias("_run_r"), F.sum("cur").over(upto).alias("_run_c"),
         F.lead("value").over(inside).alias("_next"),
     )
-    placed = running.join(F.broadcast(bases), ["column", "_slice"]).join(F.broadcast(totals), "column")
+    placed = running.join(bases, ["column", "_slice"]).join(F.broadcast(totals), "column")
     f = (F.col("_base_r") + F.col("_run_r")) / F.col("n_ref")
     g = (F.col("_base_c") + F.col("_run_c")) / F.col("n_cur")
     return placed.select(
