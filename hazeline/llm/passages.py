@@ -15,9 +15,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.substrings import BASE, MIX, SMALL_CLASSES, SPANS, _cut, _least, _list, class_key
+from hazeline.llm.substrings import BASE, MIX, SPANS, _cut, _least, _list, class_key
 from hazeline.session import written
 
+SMALL_ROWS = 200_000  # rows of a few numbers, up to which they are broadcast
 SPAN = 51  # words: the shortest passage of more than 50
 SHORT = 20  # words of the short runs whose hashes are compared
 PLACES = SPAN - SHORT + 1  # of short runs in a passage
@@ -79,7 +80,7 @@ def _described(docs: DataFrame) -> DataFrame:
 
 
 def _small(rows: DataFrame) -> DataFrame:
-    return F.broadcast(rows) if rows.count() <= SMALL_CLASSES else rows
+    return F.broadcast(rows) if rows.count() <= SMALL_ROWS else rows
 
 
 def _candidates(every: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hazeline.llm.substrings import without_repeats
+from hazeline.llm.substrings import whole_characters, without_repeats
 from hazeline.llm.text import table
 
 SQL = """
@@ -25,7 +25,9 @@ kept as (
     from pieces p join docs d on d.r = p.r group by p.r
 )
 select d.doc_id, octet_length(d.b)::bigint as n_bytes, (octet_length(d.b) - octet_length(k.k))::bigint as n_removed,
-    (select count(*) from runs n where n.r = d.r)::bigint as n_spans, sha256(k.k) as kept_sha256
+    (select count(*) from runs n where n.r = d.r)::bigint as n_spans, sha256(k.k) as kept_sha256,
+    decode(unhex(coalesce(array_to_string(list_filter(regexp_extract_all(hex(k.k), '[0-7].|(?:C[2-9A-F]|D.)[89AB].|E0[AB].[89AB].|(?:E[1-9ABCEF])[89AB].[89AB].|ED[89].[89AB].|F0[9AB].[89AB].[89AB].|F[1-3][89AB].[89AB].[89AB].|F48.[89AB].[89AB].|..'),
+        lambda x: x <> 'EFBFBD' and (length(x) > 2 or x < '8')), ''), ''))) as text
 from docs d join kept k on k.r = d.r
 """
 
@@ -34,4 +36,4 @@ def op2_substrings(spark, sf_dir):
     rows = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"))
+        F.sha2("kept", 256).alias("kept_sha256"), whole_characters("kept").alias("text"))

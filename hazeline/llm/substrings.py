@@ -33,7 +33,8 @@ PART_BYTES = 24 << 20  # of sample tuples, about, in one partition
 CHUNK_BYTES = 8 << 20  # of tuples that are induced at once; groups are not cut
 HOT = 20_000  # different surroundings of one anchor, beyond which it is split by place
 BAND = 8  # places of a window that stay together then
-SMALL_CLASSES = 200_000  # classes with repeats, up to which their spans are broadcast
+SALTS = 8  # tasks that the rows of one hash go to when they are looked up
+SMALL_BYTES = 96 << 20  # of keys and spans, up to which they are broadcast
 BLOCK = 1 << 20  # bytes of a long text that are hashed at once
 
 BASE = 0x9E3779B97F4A7C15
@@ -136,7 +137,7 @@ def _candidates(every: DataFrame) -> DataFrame:
     rows = written(one.select("key", F.explode(F.arrays_zip("values", "places", "firsts", "lasts")).alias("a")).select("key", "a.*"), "repeats-anchors")
     place = F.xxhash64("key", "places")
     shared = rows.groupBy("values").agg(F.min(place).alias("one"), F.max(place).alias("other")).where("one <> other").select("values")
-    near = rows.join(shared, "values", "left_semi")
+    near = _salted(rows, shared, "values", place)
     return near.groupBy("key").agg(F.collect_list(F.struct("values", "places", "firsts", "lasts")).alias("anchors"))
 
 
@@ -176,13 +177,15 @@ def _tuples(texts: DataFrame) -> DataFrame:
     return written(texts.select("key", "text", "anchors").mapInArrow(run, "id binary, value long, before int, seg binary, key binary, at int"), "repeats-tuples")
 
 
-def _split(rows: DataFrame, hot: int) -> DataFrame:
-    """Tuples of anchors with very many surroundings, cut by place in the window.
+def _split(rows: DataFrame, hot: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Tuples for induction, tuples for counting, and (id, part) of the tuples that were cut.
 
-    Windows with the anchor at one of `BAND` neighbouring places keep the bytes that all of them have as part of their
-    key, so that what doesn't agree there is apart, and what agrees entirely is one tuple.
+    Tuples of anchors with more than `hot` different surroundings are cut by place in the window: windows with the anchor
+    at one of `BAND` neighbouring places keep the bytes that all of them have as part of their key, so that what doesn't
+    agree there is apart, and parts that agree entirely become one tuple before the shuffle. Groups that are still as
+    large, at the edges of a frequent passage, have windows that are counted one by one instead.
     """
-    many = rows.groupBy("value").agg(F.count("*").alias("rows")).where(F.col("rows") > hot).select("value")
+    many = rows.groupBy("value").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("value")
     least = F.col("before") + WINDOW - F.octet_length("seg")  # bytes before the anchor in the last window
     cut = rows.join(many, "value", "left_semi").withColumn("band", F.explode(F.sequence(F.floor(least / BAND), F.floor(F.col("before") / BAND))))
     high = F.least(F.col("before"), F.col("band") * BAND + BAND - 1)
@@ -192,7 +195,29 @@ def _split(rows: DataFrame, hot: int) -> DataFrame:
     # bytes in common: from the band's last place before the anchor to the first window's end
     core = F.expr(f"substring(seg, before - least(band * {BAND}, before) + 1, {WINDOW - BAND + 1})")
     cut = cut.select("id", F.xxhash64("value", "band", core).alias("value"), F.col("high").alias("before"), seg.alias("seg"), "rows")
-    return rows.join(many, "value", "left_anti").unionByName(cut.select(*rows.columns))
+    cut = cut.withColumn("part", F.unhex(F.md5(F.concat(F.encode(F.concat_ws(" ", "value", "before"), "UTF-8"), "seg"))))
+    parts = written(cut.groupBy(F.col("part").alias("id"), "value", "before").agg(F.first("seg").alias("seg"), F.sum("rows").alias("rows")), "repeats-parts")
+    large = parts.groupBy("value").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("value")
+    small = rows.join(many, "value", "left_anti").unionByName(parts.join(large, "value", "left_anti"))
+    return small, parts.join(large, "value", "left_semi"), cut.select("id", "part")
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """(id, high, low) of repeated windows of these tuples, each window a row: equal ones are counted before the shuffle,
+    and meet again under one of several salts."""
+    places = F.explode(F.sequence(F.col("before") + WINDOW - F.octet_length("seg"), F.col("before"))).alias("high")
+    windows = rows.select("id", "rows", "before", "seg", places)
+    mark = F.unhex(F.md5(F.expr(f"substring(seg, before - high + 1, {WINDOW})")))
+    windows = windows.select("id", "rows", F.col("high").cast("int").alias("high"), mark.alias("mark"))
+    counts = windows.groupBy("mark").agg(F.sum("rows").alias("n")).where(F.col("n") > 1).select("mark")
+    hits = _salted(windows, counts, "mark", F.xxhash64("id"))
+    return hits.select("id", "high", F.col("high").alias("low"))
+
+
+def _salted(rows: DataFrame, known: DataFrame, key: str, by: Column) -> DataFrame:
+    """Rows whose key is known; a key's rows go to `SALTS` tasks."""
+    salted = known.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt_", F.pmod(by, F.lit(SALTS)).cast("int")).join(salted, [key, "salt_"], "left_semi").drop("salt_")
 
 
 def induced(group: np.ndarray, left: list[bytes], right: list[bytes], many: np.ndarray) -> list[np.ndarray]:
@@ -251,7 +276,7 @@ def induced(group: np.ndarray, left: list[bytes], right: list[bytes], many: np.n
 def _repeats(tuples: DataFrame, hot: int) -> DataFrame:
     """(id, high, low): runs of repeated windows of each tuple, as numbers of bytes before the anchor."""
     one = tuples.groupBy("id", "value", "before").agg(F.max("seg").alias("seg"), F.count("*").alias("rows"))
-    rows = _split(written(one, "repeats-sample"), hot)
+    rows, large, cut = _split(written(one, "repeats-sample"), hot)
     rows = rows.withColumn("right", F.expr("substring(seg, before + 1)"))
     total = rows.agg(F.sum(F.octet_length("seg"))).first()[0] or 0
     parts = max(1, ceil(total / PART_BYTES))
@@ -297,7 +322,10 @@ def _repeats(tuples: DataFrame, hot: int) -> DataFrame:
         yield from done()
 
     dealt = rows.repartition(parts, "value").sortWithinPartitions("value", "right")
-    return dealt.select("id", "value", "before", "seg", "rows").mapInArrow(run, "id binary, high int, low int")
+    found = dealt.select("id", "value", "before", "seg", "rows").mapInArrow(run, "id binary, high int, low int")
+    found = written(found.unionByName(_counted(large)), "repeats-found")
+    of_parts = cut.join(found.withColumnRenamed("id", "part"), "part").select("id", "high", "low")
+    return found.unionByName(of_parts)  # ids of parts are in no other table: their own rows join nothing
 
 
 def removed(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -366,6 +394,7 @@ def without_repeats(docs: DataFrame, hot: int = HOT, also: DataFrame | None = No
                     [*own, *added])
 
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("row"), class_key().alias("key"), "text").alias("d")
-    small = found.count() <= SMALL_CLASSES
+    size = found.agg(F.sum(F.lit(16 + 24) + F.size("spans") * 8)).first()[0] or 0
+    small = size <= SMALL_BYTES
     both = rows.join((F.broadcast(found) if small else found).alias("f"), F.col("d.key") == F.col("f.key"), "left")
     return both.select("d.row", "d.text", "f.spans").mapInArrow(run, f"{fields}, n_bytes long, spans array<struct<from:int,to:int>>, kept binary")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hazeline.llm import q_substrings
 from hazeline.llm import substrings as sub
+from texts import docs_of
 
 
 def brute(rows):
@@ -63,6 +64,35 @@ def test_passages(spark, hot):
     assert engine(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot) == brute(rows)
 
 
+def test_one_footer_in_many_texts(spark):
+    """However many different texts share a passage, no group of tuples is larger than the limit, and nothing is lost."""
+    rng = random.Random(8)
+    footer = "".join(rng.choice("abcdefgh ") for _ in range(600))
+    rows = [(i, "".join(rng.choice("ijklmnop ") for _ in range(rng.randint(5, 60))) + footer + "".join(rng.choice("qrstuv") for _ in range(rng.randint(0, 40)))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = engine(docs, hot=40)
+    assert got == brute(rows) and got == engine(docs)
+    tuples = sub._tuples(sub._texts(docs, sub._candidates(sub.described(docs))))
+    one = tuples.groupBy("id", "value", "before").agg(F.max("seg").alias("seg"), F.count("*").alias("rows"))
+    small, large, _ = sub._split(one, 40)
+    assert max(r["count"] for r in one.groupBy("value").count().collect()) > 40 and large.count() > 0
+    assert max(r["count"] for r in small.groupBy("value").count().collect()) <= 40
+
+
+def test_planted_passages(spark):
+    """Every passage of 400 bytes and more that was planted in two texts goes, and nothing else does."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(4000)]
+    said = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    planted = [said(n) for n in (60, 75, 90, 120, 200)]
+    texts = [f"{said(80)}\n{planted[i % 5]}\n{said(50)}" for i in range(40)] + [said(150) for _ in range(20)]
+    kept = {r.doc_id: r for r in sub.without_repeats(docs_of(spark, texts)).select("doc_id", sub.whole_characters().alias("kept"), "n_bytes").collect()}
+    for i, text in enumerate(texts):
+        gone = i < 40 and len(planted[i % 5]) >= 400
+        assert (planted[i % 5] not in kept[i].kept) if gone else (kept[i].kept == text or i < 40)
+    assert all(kept[i].kept == texts[i] for i in range(40, 60))
+
+
 def test_odd_documents(odd_docs, no_docs):
     got = sub.without_repeats(odd_docs)
     assert got.columns == [c for c in odd_docs.columns if c not in ("n_bytes", "spans", "kept")] + ["n_bytes", "spans", "kept"]
