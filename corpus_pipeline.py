@@ -1,4 +1,9 @@
-"""From raw documents to token ids: each stage is one operator, its rows are stored and read again by the next."""
+"""From raw documents to token ids: each stage is one operator, its rows are stored and read again by the next.
+
+All stages take any nulls: a null text counts as empty, a null source is a source of its own, rows with a null doc_id are
+documents like others. Repeated rows count one by one until near duplicates keep one of them. An empty table passes
+through all stages empty. Columns other than those of `documents` are kept as they are up to the last stage.
+"""
 
 from __future__ import annotations
 
@@ -19,14 +24,15 @@ LEAST_SCORE = 0.05
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that have no letter or come near no language; a missing language is filled in."""
+    """Without documents that have no letter (null and empty texts too) or come near no language; a missing language is
+    filled in."""
     profiles = written(learn(docs), "lang-profiles")
     rows = identify(docs, profiles).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return rows.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of similar ones."""
+    """The document of smallest id of each group of similar ones; a null id is the last choice."""
     return one_of_each_group(docs)
 
 
@@ -39,7 +45,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it."""
+    """Each document as often as the mix of sources takes it: not at all, once or twice. An empty text goes the way of
+    its point and adds no words."""
     return mixed(docs)
 
 
