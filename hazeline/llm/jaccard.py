@@ -29,8 +29,9 @@ from hazeline.session import written
 
 WORDS = 5
 PERCENT = 75
-CHUNK_TOKENS = 1 << 21  # shingles that a task sorts at once
-RANGE_TOKENS = 1 << 22  # shingles, about, that one task of the count gets
+CHUNK_TOKENS = 1 << 19  # shingles that a task sorts at once
+RANGE_TOKENS = 1 << 20  # shingles, about, that one task of the count gets
+BUCKET_TOKENS = 1 << 24  # shingles of the sets whose counts one task sums up
 DRAWS = 16
 WORTH = 200  # rounds of comparisons with drawn sets end when one finds less than this part of the best
 SMALL_IDS = 4_000_000  # ids (32 MB) up to which a list of them is broadcast
@@ -89,7 +90,7 @@ def shared_counts(docs: DataFrame, tokens: int) -> DataFrame:
     A task sends each shingle of its sets once, in sorted arrays cut by ranges of hashes. A shingle that two sets of the
     task have goes as one entry without a set, so a frequent shingle costs an entry for each task.
     """
-    ranges = max(1, ceil(tokens / 2 / RANGE_TOKENS))
+    ranges, buckets = max(1, ceil(tokens / 2 / RANGE_TOKENS)), max(1, ceil(tokens / BUCKET_TOKENS))
 
     def chunk(nodes: list[int], sizes: list[int], sets: list[np.ndarray]) -> Iterator[tuple]:
         low = [s[:np.searchsorted(s, HALF)] for s in sets]
@@ -141,10 +142,15 @@ def shared_counts(docs: DataFrame, tokens: int) -> DataFrame:
         if nodes:
             yield from sent(chunk(nodes, sizes, sets))
 
+    def dealt(hi: np.ndarray, n: np.ndarray, half: np.ndarray, shared: np.ndarray) -> pa.Table:
+        """One row for each bucket of classes, whatever their number."""
+        at = (hi.view(np.uint64) >> np.uint64(32)) % np.uint64(buckets)
+        found = [(int(b), *(x[at == b].astype(np.int64).tobytes() for x in (hi, n, half, shared))) for b in np.unique(at)]
+        return pa.table({c: pa.array([f[i] for f in found], pa.binary() if i else pa.int32()) for i, c in enumerate(("bucket", "hi", "n", "half", "shared"))})
+
     def count(key: tuple, rows: pa.Table) -> pa.Table:
         if key[0].as_py() >= ranges:
-            every = np.concatenate([np.frombuffer(x, np.int64).reshape(4, -1) for x in rows["tokens"].to_pylist()], axis=1)
-            return pa.table({"hi": every[0], "n": every[1], "half": every[2], "shared": every[3]})
+            return dealt(*np.concatenate([np.frombuffer(x, np.int64).reshape(4, -1) for x in rows["tokens"].to_pylist()], axis=1))
         token, name, many = [], [], []
         for t, p, n, flag in zip(*(rows[c].to_pylist() for c in ("tokens", "place", "names", "flag"))):
             place, names = np.frombuffer(p, np.uint32), np.frombuffer(n, np.int64)
@@ -161,11 +167,19 @@ def shared_counts(docs: DataFrame, tokens: int) -> DataFrame:
         width = np.diff(np.append(starts, len(token)))
         hi, counts = np.unique(name[np.repeat(shared, width) & ~many], return_counts=True)
         none = np.zeros(len(hi), np.int64)
-        return pa.table({"hi": hi, "n": none, "half": none, "shared": counts.astype(np.int64)})
+        return dealt(hi, none, none, counts)
+
+    def total(key: tuple, rows: pa.Table) -> pa.Table:
+        every, n, half, shared = (np.concatenate([np.frombuffer(x, np.int64) for x in rows[c].to_pylist()]) for c in ("hi", "n", "half", "shared"))
+        hi, at = np.unique(every, return_inverse=True)
+        largest = [np.zeros(len(hi), np.int64) for _ in range(2)]
+        for out, x in zip(largest, (n, half)):
+            np.maximum.at(out, at, x)
+        return pa.table({"hi": hi, "n": largest[0], "half": largest[1], "shared": np.bincount(at, shared, len(hi)).astype(np.int64)})
 
     sent = docs.select("text").mapInArrow(run, "part int, tokens binary, place binary, names binary, flag boolean")
-    counted = sent.repartition(2 * ranges, "part").groupBy("part").applyInArrow(count, "hi long, n long, half long, shared long")
-    return counted.groupBy("hi").agg(F.max("n").alias("n"), F.max("half").alias("half"), F.sum("shared").alias("shared"))
+    counted = sent.repartition(2 * ranges, "part").groupBy("part").applyInArrow(count, "bucket int, hi binary, n binary, half binary, shared binary")
+    return counted.groupBy("bucket").applyInArrow(total, "hi long, n long, half long, shared long")
 
 
 def sets_of(docs: DataFrame, open_: DataFrame) -> DataFrame:
