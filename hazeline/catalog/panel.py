@@ -149,8 +149,8 @@ from panel)"""
 
 
 def r6(value: Column) -> Column:
-    """Round to six places. The small shift keeps exact halves from falling either way by the last bit."""
-    return F.floor(value * 1e6 + 0.5001) / 1e6
+    """Round to six places; NaN stays. The small shift keeps exact halves from falling either way by the last bit."""
+    return F.when(F.isnan(value), value).otherwise(F.floor(value * 1e6 + 0.5001) / 1e6)
 
 
 def s6(expression: str) -> str:
