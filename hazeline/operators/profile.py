@@ -58,12 +58,12 @@ def robust_scaling(train: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def standard_scaling(train: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, mean, std) with the population deviation; zero scales by 1."""
+    """(column, mean, std, scale): the population deviation as it is, and as a divisor, where zero scales by 1."""
     stats = train.agg(*[
         F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in columns
     ])
-    spread = F.when(F.col("_s.std") == 0, 1.0).otherwise(F.col("_s.std"))
-    return long_form(stats, columns, "_s").select("column", "_s.mean", spread.alias("std"))
+    scale = F.when(F.col("_s.std") == 0, 1.0).otherwise(F.col("_s.std"))
+    return long_form(stats, columns, "_s").select("column", "_s.mean", "_s.std", scale.alias("scale"))
 
 
 def apply_scaling(df: DataFrame, scaling: DataFrame, centre: str, spread: str) -> DataFrame:

@@ -32,6 +32,12 @@ def test_quantiles_equal_numpy(spark, accuracy):
         assert (mine.n == len(values)).all()
 
 
+def test_standard_scaling_of_a_constant_column(spark):
+    df = spark.createDataFrame([(3.0, 1.0), (3.0, 3.0)], "same double, two double")
+    got = {r["column"]: (r["mean"], r["std"], r["scale"]) for r in profile.standard_scaling(df, ["same", "two"]).collect()}
+    assert got == {"same": (3.0, 0.0, 1.0), "two": (2.0, 1.0, 1.0)}
+
+
 def test_quantiles_skip_nulls(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0)], "k string, value double")
     assert exact_quantiles(df, ["k"], [0.5]).first()["quantile"] == 2.0
