@@ -20,6 +20,7 @@ a task that runs again does the same.
 
 from __future__ import annotations
 
+import random
 from collections import defaultdict
 from collections.abc import Iterator
 from math import ceil
@@ -39,6 +40,7 @@ from hazeline.session import written
 CHUNK_TOKENS = 1 << 21
 CHUNK_DOCS = 50_000
 PART_BYTES = 24 << 20  # of text, about, for each part of words and of pairs
+FEW = 32  # dishes that are seated one after the other, since arrays of so few are slower
 HOT = 1 << 20  # customers of a restaurant for each part that it is dealt to
 BURN_IN, SAMPLES = 1, 3
 STRENGTH = (1.0, 1.0)  # of the parent and of the words' restaurants
@@ -67,54 +69,109 @@ def reseat(sizes: np.ndarray, tables: np.ndarray, customers: np.ndarray, base: n
 
     `sizes` lists the tables of each dish in turn, `tables` their numbers. `base` is the parent's probability of the dish,
     `room` the restaurant of each dish, `total` the tables of a restaurant, `scale` what `total` stands for if the
-    restaurant is dealt to several parts. A dish moves some customers in a round, more if it has many; one of two
-    customers is enough, since the seat of the other doesn't matter.
+    restaurant is dealt to several parts. A dish makes as many moves as it has customers, each of one drawn at random; one
+    move is enough for two customers, since the seat of the other doesn't matter. All dishes that still have moves to make
+    make one in each step; the last few, of the most customers, make the rest one dish after the other.
     """
-    moves = np.where(customers <= 2, customers - 1, np.minimum(customers, 4 * np.ceil(np.log2(np.maximum(customers, 2)) + 1))).astype(np.int64)
+    moves = np.where(customers <= 2, customers - 1, customers).astype(np.int64)
+    at = np.argsort(-moves, kind="stable")
+    at = at[moves[at] > 0]
     starts = np.cumsum(tables) - tables
-    out: list[tuple] = []
-    for n in np.unique(moves):
-        at = np.flatnonzero(moves == n)
-        pick = np.repeat(starts[at] - (np.cumsum(tables[at]) - tables[at]), tables[at]) + np.arange(int(tables[at].sum()))
-        size, width, live = sizes[pick].astype(np.int64), tables[at].astype(np.int64), tables[at].astype(np.int64)
-        c, p, r, k = customers[at], base[at], room[at], scale[at]
-        for _ in range(n):
-            first = np.cumsum(width) - width
-            ends = np.cumsum(size)
-            before = ends[first] - size[first]
-            taken = np.searchsorted(ends, before + np.floor(rng.random(len(at)) * c).astype(np.int64), "right")
-            size[taken] -= 1
-            gone = size[taken] == 0
-            live = live - gone
-            np.subtract.at(total, r[gone], 1)
-            fresh = (strength + discount * total[r] * k) * p
-            stay = c - 1 - discount * live
-            new = rng.random(len(at)) * (fresh + stay) < fresh
-            weight = np.where(size > 0, size - discount, 0.0)
-            ends = np.cumsum(weight)
-            joined = np.searchsorted(ends, ends[first] - weight[first] + rng.random(len(at)) * stay, "right")
-            joined = np.clip(joined, first, first + width - 1)
-            new |= size[joined] == 0
-            size[joined[~new]] += 1
-            size[taken[new & gone]] = 1
-            more = new & ~gone
-            live = live + new
-            np.add.at(total, r[new], 1)
-            if more.any():
-                size = np.insert(size, (first + width)[more], 1)
-                width = width + more
-        kept = size > 0
-        out.append((at, live, size[kept]))
+    still = np.flatnonzero(moves == 0)
+    out: list[tuple] = [(still, tables[still], sizes[_within(starts[still], tables[still])])]
+    size, live = sizes[_within(starts[at], tables[at])].astype(np.int64), tables[at].astype(np.int64)
+    width, left = live, -moves[at]
+    c, p, r, k = customers[at], base[at], room[at], scale[at]
+    step = 0
+    while len(at):
+        going = int(np.searchsorted(left, -step))  # of most moves first
+        if going < len(at) or step % 16 == 0:
+            ends, kept = int(width[:going].sum()), size > 0
+            done = size[ends:]
+            out.append((at[going:], live[going:], done[kept[ends:]]))
+            at, left, c, p, r, k, live = (x[:going] for x in (at, left, c, p, r, k, live))
+            size, width = size[:ends][kept[:ends]], live
+        if len(at) <= FEW:
+            break
+        first = np.cumsum(width) - width
+        ends = np.cumsum(size)
+        before = ends[first] - size[first]
+        taken = np.searchsorted(ends, before + np.floor(rng.random(len(at)) * c).astype(np.int64), "right")
+        size[taken] -= 1
+        gone = size[taken] == 0
+        live = live - gone
+        np.subtract.at(total, r[gone], 1)
+        fresh = (strength + discount * total[r] * k) * p
+        stay = c - 1 - discount * live
+        new = rng.random(len(at)) * (fresh + stay) < fresh
+        weight = np.where(size > 0, size - discount, 0.0)
+        ends = np.cumsum(weight)
+        joined = np.searchsorted(ends, ends[first] - weight[first] + rng.random(len(at)) * stay, "right")
+        joined = np.clip(joined, first, first + width - 1)
+        new |= size[joined] == 0
+        size[joined[~new]] += 1
+        size[taken[new & gone]] = 1
+        more = new & ~gone
+        live = live + new
+        np.add.at(total, r[new], 1)
+        if more.any():
+            size = np.insert(size, (first + width)[more], 1)
+            width = width + more
+        step += 1
+    ends = np.cumsum(live)
+    for i in range(len(at)):
+        own, total[r[i]] = _moved(size[ends[i] - live[i]:ends[i]], int(-left[i]) - step, float(p[i]), int(total[r[i]]), float(k[i]), strength, discount, rng)
+        out.append((at[i:i + 1], np.array([len(own)]), own))
     tables = np.zeros(len(customers), np.int64)
     for at, live, _ in out:
         tables[at] = live
     starts = np.cumsum(tables) - tables
     sizes = np.zeros(int(tables.sum()), np.int64)
     for at, live, size in out:
-        sizes[np.repeat(starts[at] - (np.cumsum(live) - live), live) + np.arange(len(size))] = size
+        sizes[_within(starts[at], live)] = size
     return sizes, tables
 
 
+def _within(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """`n` numbers from each start."""
+    return np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def _moved(sizes: np.ndarray, moves: int, base: float, total: int, scale: float, strength: float, discount: float, rng: np.random.Generator) -> tuple[np.ndarray, int]:
+    """Tables of one dish of many customers after `moves` moves, and the tables of its restaurant.
+
+    A customer joins the table of another one drawn at random, which is as likely as the table is large, and draws again
+    if the discount wants it.
+    """
+    seat, size, live, c = np.repeat(np.arange(len(sizes)), sizes).tolist(), sizes.tolist(), len(sizes), int(sizes.sum())
+    draw = random.Random(int(rng.integers(1 << 62))).random
+    for _ in range(moves):
+        who = int(draw() * c)
+        old = seat[who]
+        size[old] -= 1
+        gone = not size[old]
+        if gone:
+            live -= 1
+            total -= 1
+        fresh = (strength + discount * total * scale) * base
+        if draw() * (fresh + c - 1 - discount * live) < fresh:
+            live += 1
+            total += 1
+            if gone:
+                size[old] = 1
+            else:
+                seat[who] = len(size)
+                size.append(1)
+            continue
+        other = who
+        while other == who or draw() * size[seat[other]] < discount:
+            other = int(draw() * c)
+        seat[who] = old = seat[other]
+        size[old] += 1
+    found = np.array(size, np.int64)
+    return found[found > 0], total
+
+
 def discount_of(once: int, twice: int) -> float:
     """The share of a customer that each table gives away, from the dishes with one and with two customers."""
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5

@@ -119,6 +119,27 @@ def test_tables_follow_their_distribution():
     assert np.bincount(tables, minlength=c + 1)[1:] / n == pytest.approx(exact / exact.sum(), abs=0.015)
 
 
+@pytest.mark.parametrize("n", [300, 30])  # moved side by side, and one after the other
+def test_a_round_moves_all_customers(n):
+    """Of dishes with many customers, after a few rounds from one table, against the exact mean number of tables."""
+    c, p, strength, d = 400, 0.3, 0.7, 0.6
+    ways = np.full(c + 1, -np.inf)  # logarithms of generalised Stirling numbers of the customers so far, by tables
+    ways[1] = 0.0
+    for k in range(2, c + 1):
+        t = np.arange(1, k + 1)
+        ways[t] = np.logaddexp(ways[t - 1], np.log(k - 1 - d * np.minimum(t, k - 1)) + ways[t])
+    t = np.arange(1, c + 1)
+    logs = ways[1:] + t * np.log(p) + np.cumsum(np.log(strength + d * (t - 1)))
+    exact = np.exp(logs - logs.max())
+    rng, customers, tables = np.random.default_rng(2), np.full(n, c), np.ones(n, np.int64)
+    sizes, total = customers.copy(), tables.copy()
+    for _ in range(12):
+        sizes, tables = m.reseat(sizes, tables, customers, np.full(n, p), np.arange(n), total, np.ones(n), strength, d, rng)
+    assert (total == tables).all() and (np.bincount(np.repeat(np.arange(n), tables), sizes) == c).all() and sizes.min() > 0
+    spread = np.sqrt((exact * t * t).sum() / exact.sum() - ((exact * t).sum() / exact.sum()) ** 2)
+    assert abs(tables.mean() - (exact * t).sum() / exact.sum()) < 4 * spread / np.sqrt(n)
+
+
 def test_probabilities_sum_to_one(spark):
     """Of all words after a word that is followed by several, seen words and one unseen."""
     texts = ["a b a c", "a b", "a a b c a", "b c a d", "d a b a b", "", None]
