@@ -1,7 +1,7 @@
 """Main text of web pages by wrapper induction.
 
-Some pages of each host are aligned as trees. Nodes that say the same on nearly all of them are the host's template; the
-rest are its slots. From a page, the template and whatever is marked as navigation, notice, advert, form or comments go;
+All pages of each host are aligned by where their nodes hang. Nodes that say the same on nearly all of them, or on nearly
+all pages of one layout, are template; the rest are slots. From a page, the template and whatever is marked as navigation, notice, advert, form or comments go;
 of what is left, the article is taken.
 """
 
@@ -12,16 +12,15 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazeline.llm.dom import INLINE, Node, key_of, matched, parse
+from hazeline.llm.dom import INLINE, Node, key_of, parse
 from hazeline.session import written
 
-SAMPLE = 8  # pages of a host that are aligned, at most
-LEAST = 4  # and at least; else the host has no template
+LEAST = 4  # different pages of a host or layout; else it has no template
 SLOT = 0.7  # share of a page's text that one element must hold to be looked into
-CONSTANT = 0.8  # share of the aligned pages that say the same
+CONSTANT = 0.8  # share of the pages that say the same
 BATCH_BYTES = 8 << 20
 
 #: Elements and words in class, id and role that mark what isn't the article.
@@ -73,32 +72,43 @@ def _content_path(tree: Node) -> str:
         node = child
 
 
+def described(html: str) -> tuple[str, list[int], list[int]]:
+    """Of a page the path of its content, and the keys of its nodes outside and inside of articles."""
+    tree = parse(html)
+    keys: tuple[set[int], set[int]] = set(), set()
+    stack = [(tree, tree.path(), False)]
+    while stack:
+        node, path, inside = stack.pop()
+        for x in node.children:
+            if x.tag in INLINE or not x.text:
+                continue
+            here, within = f"{path}/{x.label}", inside or x.tag in ("article", "main")
+            keys[within].add(key_of(x, here))
+            stack.append((x, here, within))
+    return _content_path(tree), sorted(keys[False]), sorted(keys[True])
+
+
+def is_constant(n: int | Column, pages: int | Column, inside: bool | Column) -> bool | Column:
+    """Whether what stands on `n` of some pages is their template; within the article only what all of them say."""
+    return (n >= CONSTANT * pages) & (~inside | (n == pages) if isinstance(inside, Column) else (not inside) | (n == pages))
+
+
 def induce(pages: list[str]) -> tuple[list[int], str | None]:
-    """Keys of the constant nodes of a host and the path of its content slot, from some of its pages.
+    """Keys of the constant nodes of a host and the path of its content slot, from its pages: `templates` in one task.
 
     Nothing if there are too few different pages.
     """
-    trees = [parse(x) for x in dict.fromkeys(pages)]
-    if len(trees) < LEAST:
+    seen = [described(x) for x in dict.fromkeys(pages)]
+    if len(seen) < LEAST:
         return [], None
-    slots = Counter(_content_path(x) for x in trees).most_common()
+    slots = Counter(x[0] for x in seen).most_common()
     slot = min(x for x, n in slots if n == slots[0][1])
-    first, alike, nodes = trees[0], Counter(), {}
-    for other in trees[1:]:
-        for a, b in matched(first, other):
-            if a.text and a.text == b.text:
-                alike[id(a)] += 1
-                nodes[id(a)] = a
-    found = []
-    for key, n in alike.items():
-        node, up, inside = nodes[key], nodes[key], False
-        while up is not None:
-            inside |= up.tag in ("article", "main")
-            up = up.parent
-        # within the article only what all pages say
-        if n >= (len(trees) - 1 if inside else CONSTANT * (len(trees) - 1)):
-            found.append(key_of(node, node.path()))
-    return sorted(set(found)), slot
+    found: set[int] = set()
+    for some in (seen, [x for x in seen if x[0] == slot]):
+        if len(some) >= LEAST:
+            for inside in (False, True):
+                found |= {k for k, n in Counter(k for x in some for k in x[1 + inside]).items() if is_constant(n, len(some), inside)}
+    return sorted(found), slot
 
 
 def _at(node: Node, path: str, found: list[Node]) -> list[Node]:
@@ -170,21 +180,41 @@ def main_text(html: str | None, template: frozenset[int] = frozenset(), slot: st
     return " ".join(t for t, linked in blocks.done if linked <= 0.5)
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, template, slot): keys of constant nodes and the path of the content, for each host with at least `LEAST` different pages.
+def templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, template, slot) of hosts and (host, own_slot, own) of their layouts, each of at least `LEAST` different pages.
 
-    A host's sample is the page of smallest hash in each of `SAMPLE` classes of hashes, so it is found by sums alone
-    and is the same in each run; a host of any size sends that many pages to one task.
+    All different pages of a host are counted. Those whose content hangs in the same place are one layout; a node that says
+    the same on nearly all pages of the host or of the layout is constant. Pages leave their tasks as keys of their nodes,
+    and counts are summed by key, so a host of any size is counted by many tasks.
     """
     rows = pages.select(host("url").alias("host"), F.xxhash64("html").alias("hash"), "html").where("host is not null and html is not null")
-    picked = rows.groupBy("host", F.pmod("hash", F.lit(SAMPLE)).alias("class")).agg(F.min("hash").alias("hash")).select("host", "hash")
-    sample = rows.join(picked, ["host", "hash"]).groupBy("host", "hash").agg(F.first("html").alias("html"))
-
-    def one(key: tuple, some: pa.Table) -> pa.Table:
-        found, slot = induce([x for _, x in sorted(zip(some["hash"].to_pylist(), some["html"].to_pylist()))])
-        return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "template": pa.array([found], pa.list_(pa.int64())), "slot": pa.array([slot], pa.string())})
 
-    return sample.groupBy("host").applyInArrow(one, "host string, template array<long>, slot string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = pa.list_(pa.int64())
+        for batch in batches:
+            for first in range(0, batch.num_rows, 1000):
+                some = batch.slice(first, 1000)
+                slots, outside, inside = zip(*(described(x.as_py()) for x in some.column(2)))
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(slots, pa.string()), pa.array(outside, longs), pa.array(inside, longs)], ["host", "hash", "slot", "outside", "inside"])
+
+    seen = rows.mapInArrow(run, "host string, hash long, slot string, outside array<long>, inside array<long>")
+    seen = seen.groupBy("host", "hash").agg(*(F.first(x).alias(x) for x in ("slot", "outside", "inside")))
+    seen = written(seen, "pages-seen")
+    layouts = written(seen.groupBy("host", "slot").agg(F.count("*").alias("pages")), "layouts")
+    hosts = layouts.groupBy("host").agg(F.sum("pages").alias("all_pages"), F.min(F.struct(-F.col("pages"), "slot"))["slot"].alias("top")).where(F.col("all_pages") >= LEAST)
+    keys = seen.select("host", "slot", F.explode("outside").alias("key"), F.lit(False).alias("inside")).unionAll(
+        seen.select("host", "slot", F.explode("inside").alias("key"), F.lit(True).alias("inside")))
+    # What stands on fewer pages is constant neither of a layout nor of a host.
+    counts = keys.groupBy("host", "slot", "key", "inside").agg(F.count("*").alias("n"))
+    counts = written(counts.withColumn("all_n", F.sum("n").over(Window.partitionBy("host", "key", "inside"))).where(F.col("all_n") >= CONSTANT * LEAST), "node-counts")
+    own = (
+        counts.join(layouts.where(F.col("pages") >= LEAST), ["host", "slot"]).where(is_constant(F.col("n"), F.col("pages"), F.col("inside")))
+        .groupBy("host", "slot").agg(F.collect_list("key").alias("own"))
+    )
+    own = layouts.where(F.col("pages") >= LEAST).join(own, ["host", "slot"], "left").select("host", F.col("slot").alias("own_slot"), "own")
+    every = counts.select("host", "key", "inside", "all_n").distinct().join(hosts, "host")
+    every = every.where(is_constant(F.col("all_n"), F.col("all_pages"), F.col("inside"))).groupBy("host").agg(F.collect_list("key").alias("template"))
+    return hosts.join(every, "host", "left").select("host", "template", F.col("top").alias("slot")), own
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -193,10 +223,21 @@ def extract(pages: DataFrame) -> DataFrame:
     An empty text for a null or empty page, and for one without an article. A page without host, or of a host with few
     different pages, is read without a template. Repeated rows give repeated rows, an empty table an empty result.
     """
-    known = written(templates(pages), "templates").alias("t")
-    rows = pages.select("page_id", "url", "html", host("url").alias("host")).alias("p")
-    both = rows.join(known, F.col("p.host") == F.col("t.host"), "left").select("page_id", "url", "html", "template", "slot")
-    kind = dict(both.dtypes)["page_id"]
+    hosts, layouts = (written(x, "templates") for x in templates(pages))
+    kind = dict(pages.dtypes)["page_id"]
+    rows = pages.select("page_id", "url", "html", host("url").alias("host"))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = [_content_path(parse(h.as_py())) if u.is_valid and h.is_valid else None for h, u in zip(batch.column(2), batch.column(3))]
+            yield batch.append_column("place", pa.array(slots, pa.string()))
+
+    rows = rows.mapInArrow(placed, f"page_id {kind}, url string, html string, host string, place string").alias("p")
+    both = (
+        rows.join(hosts.alias("h"), F.col("p.host") == F.col("h.host"), "left")
+        .join(layouts.alias("l"), (F.col("p.host") == F.col("l.host")) & (F.col("p.place") == F.col("l.own_slot")), "left")
+        .select("page_id", "url", "html", F.concat(F.coalesce("template", F.array()), F.coalesce("own", F.array())).alias("template"), F.coalesce("own_slot", "slot").alias("slot"))
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

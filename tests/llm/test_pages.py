@@ -127,6 +127,28 @@ def test_pages_of_all_kinds(spark):
     assert extract(pages_of(spark, rows).where("false")).collect() == []
 
 
+def test_templates_from_all_pages_of_a_host(spark):
+    """Two layouts of one host, one with a ninth of the pages, without articles; the constants are on all pages of a layout."""
+    rng = random.Random(5)
+    text = lambda: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(60))
+    rows, want = [], []
+    for i in range(200):
+        body, kept = f"<p>{text()}</p><p>{text()}</p>", i % 10
+        html = f"<div class=top1>Read the daily paper</div><div class=c1>{body}</div>" if kept else f"<div class=x><div class=c2>{body}</div><div class=end2>All about us</div></div>"
+        rows.append((i, f"http://host.example/{i}", html))
+        want.append(main_text(body))
+    got = {r.page_id: r.text for r in extract(pages_of(spark, rows)).collect()}
+    assert [got[i] for i in range(200)] == want
+
+
+def test_notices_of_most_pages_are_template(spark):
+    """A notice on nine of ten pages of each host goes, whichever pages have it; one on half of them stays."""
+    for share, stays in ((10, False), (2, True)):
+        rows = [(i, "http://host.example/", f"<div class=c><p>{'word ' * 20}{i}</p>" + ("<p>Our office has moved</p>" if i % share or share == 2 and i % 4 == 1 else "") + "</div>") for i in range(60)]
+        got = [r.text for r in extract(pages_of(spark, rows)).collect()]
+        assert any("office" in t for t in got) == stays and all("word" in t for t in got)
+
+
 def test_extraction_query(spark):
     rows = {r.page_id: r for r in q_pages.op7_extraction(spark, "/root/testdata/sf0.001").collect()}
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
