@@ -41,6 +41,7 @@ CHUNK_TOKENS = 1 << 21
 CHUNK_DOCS = 50_000
 PART_BYTES = 24 << 20  # of text, about, for each part of words and of pairs
 FEW = 32  # dishes that are seated one after the other, since arrays of so few are slower
+STEP = 200  # moves of one dish that take as long as a step of so few dishes side by side
 HOT = 1 << 20  # customers of a restaurant for each part that it is dealt to
 BURN_IN, SAMPLES = 1, 3
 STRENGTH = (1.0, 1.0)  # of the parent and of the words' restaurants
@@ -70,57 +71,81 @@ def reseat(sizes: np.ndarray, tables: np.ndarray, customers: np.ndarray, base: n
     `sizes` lists the tables of each dish in turn, `tables` their numbers. `base` is the parent's probability of the dish,
     `room` the restaurant of each dish, `total` the tables of a restaurant, `scale` what `total` stands for if the
     restaurant is dealt to several parts. A dish makes as many moves as it has customers, each of one drawn at random; one
-    move is enough for two customers, since the seat of the other doesn't matter. All dishes that still have moves to make
-    make one in each step; the last few, of the most customers, make the rest one dish after the other.
+    move is enough for two customers, since the seat of the other doesn't matter. A customer who sits down at the old table
+    again changes nothing: how many of these moves come before the next change is drawn at once. In each step all dishes
+    that still have moves to make come to their next change; the last few make the rest one dish after the other, unless
+    nearly all of their moves change nothing.
     """
     moves = np.where(customers <= 2, customers - 1, customers).astype(np.int64)
-    at = np.argsort(-moves, kind="stable")
-    at = at[moves[at] > 0]
+    at, still = np.flatnonzero(moves > 0), np.flatnonzero(moves <= 0)
     starts = np.cumsum(tables) - tables
-    still = np.flatnonzero(moves == 0)
     out: list[tuple] = [(still, tables[still], sizes[_within(starts[still], tables[still])])]
     size, live = sizes[_within(starts[at], tables[at])].astype(np.int64), tables[at].astype(np.int64)
-    width, left = live, -moves[at]
-    c, p, r, k = customers[at], base[at], room[at], scale[at]
+    width, left = live.copy(), moves[at]
+    c, p, r, k = customers[at].astype(np.float64), base[at], room[at], scale[at]
+    first = np.cumsum(width) - width
+    squares, single = (np.add.reduceat(x, first) if len(at) else x for x in (np.square(size, dtype=np.float64), (size == 1).astype(np.int64)))
     step = 0
-    while len(at):
-        going = int(np.searchsorted(left, -step))  # of most moves first
-        if going < len(at) or step % 16 == 0:
-            ends, kept = int(width[:going].sum()), size > 0
-            done = size[ends:]
-            out.append((at[going:], live[going:], done[kept[ends:]]))
-            at, left, c, p, r, k, live = (x[:going] for x in (at, left, c, p, r, k, live))
-            size, width = size[:ends][kept[:ends]], live
-        if len(at) <= FEW:
+    while True:
+        going = left > 0
+        n = int(np.count_nonzero(going))
+        if step % 16 == 0 or n <= FEW or n < 0.9 * len(at):
+            kept, some = np.repeat(going, width), size > 0
+            if n < len(at):
+                out.append((at[~going], live[~going], size[some & ~kept]))
+            size = size[some & kept]
+            at, left, c, p, r, k, live, squares, single = (x[going] for x in (at, left, c, p, r, k, live, squares, single))
+            width = live.copy()
+            first = np.cumsum(width) - width
+        step += 1
+        weight = np.where(single < live, (strength + discount * total[r] * k) * p + c - 1 - discount * live, 1.0)
+        change = np.clip(1 - (squares - (1 + discount) * c + discount * single) / (c * weight), 1e-300, 1 - 1e-16)  # of tables of one none comes back
+        if n <= FEW and left.sum() <= STEP * (left * change).max(initial=0):
             break
-        first = np.cumsum(width) - width
-        ends = np.cumsum(size)
-        before = ends[first] - size[first]
-        taken = np.searchsorted(ends, before + np.floor(rng.random(len(at)) * c).astype(np.int64), "right")
+        idle = np.minimum(np.log1p(-rng.random(len(at))) / np.log1p(-change), left).astype(np.int64)
+        moved = np.flatnonzero(idle < left)
+        left -= np.minimum(idle + 1, left)
+        if not len(moved):
+            continue
+        leave = np.where(size > 1, size - 1 - discount, 0.0) * np.repeat(1 / weight, width)
+        leave = size * (1 - leave) * np.repeat(1 / (c * change), width)
+        taken = _drawn(leave, first, width, moved, rng)
+        old = size[taken]
+        if not old.all():  # an empty place, by rounding
+            moved, taken, old = moved[old > 0], taken[old > 0], old[old > 0]
         size[taken] -= 1
-        gone = size[taken] == 0
-        live = live - gone
-        np.subtract.at(total, r[gone], 1)
-        fresh = (strength + discount * total[r] * k) * p
-        stay = c - 1 - discount * live
-        new = rng.random(len(at)) * (fresh + stay) < fresh
-        weight = np.where(size > 0, size - discount, 0.0)
-        ends = np.cumsum(weight)
-        joined = np.searchsorted(ends, ends[first] - weight[first] + rng.random(len(at)) * stay, "right")
-        joined = np.clip(joined, first, first + width - 1)
-        new |= size[joined] == 0
-        size[joined[~new]] += 1
+        gone = old == 1
+        live[moved] -= gone
+        fresh = (strength + discount * (total[r[moved]] - gone) * k[moved]) * p[moved]  # other dishes as before the step
+        stay = c[moved] - 1 - discount * live[moved] - np.where(gone, 0.0, old - 1 - discount)
+        new = rng.random(len(moved)) * (fresh + stay) < fresh
+        squares[moved] -= 2 * old - 1
+        single[moved] += (old == 2).astype(np.int64) - gone
+        if not new.all():
+            others = np.where(size > 0, size - discount, 0.0)
+            others[taken] = 0
+            join = np.flatnonzero(~new)
+            joined = _drawn(others, first, width, moved[join], rng)
+            fits = others[joined] > 0
+            new[join[~fits]] = True
+            join, joined = join[fits], joined[fits]
+            squares[moved[join]] += 2 * size[joined] + 1
+            single[moved[join]] -= size[joined] == 1
+            size[joined] += 1
+        opened = moved[new]
+        live[opened] += 1
+        squares[opened] += 1
+        single[opened] += 1
+        np.add.at(total, r[moved], new.astype(np.int64) - gone)
         size[taken[new & gone]] = 1
-        more = new & ~gone
-        live = live + new
-        np.add.at(total, r[new], 1)
-        if more.any():
+        more = moved[new & ~gone]
+        if len(more):
             size = np.insert(size, (first + width)[more], 1)
-            width = width + more
-        step += 1
+            width[more] += 1
+            first = np.cumsum(width) - width
     ends = np.cumsum(live)
     for i in range(len(at)):
-        own, total[r[i]] = _moved(size[ends[i] - live[i]:ends[i]], int(-left[i]) - step, float(p[i]), int(total[r[i]]), float(k[i]), strength, discount, rng)
+        own, total[r[i]] = _moved(size[ends[i] - live[i]:ends[i]], int(left[i]), float(p[i]), int(total[r[i]]), float(k[i]), strength, discount, rng)
         out.append((at[i:i + 1], np.array([len(own)]), own))
     tables = np.zeros(len(customers), np.int64)
     for at, live, _ in out:
@@ -132,6 +157,14 @@ def reseat(sizes: np.ndarray, tables: np.ndarray, customers: np.ndarray, base: n
     return sizes, tables
 
 
+def _drawn(weights: np.ndarray, first: np.ndarray, width: np.ndarray, which: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A place of each group in `which`, drawn by weight; groups stand one after the other."""
+    ends = np.concatenate([[0.0], np.cumsum(weights)])
+    low, high = ends[first[which]], ends[(first + width)[which]]
+    at = np.searchsorted(ends, low + rng.random(len(which)) * (high - low), "right") - 1
+    return np.clip(at, first[which], (first + width)[which] - 1)
+
+
 def _within(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
     """`n` numbers from each start."""
     return np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -140,6 +141,50 @@ def test_a_round_moves_all_customers(n):
     assert abs(tables.mean() - (exact * t).sum() / exact.sum()) < 4 * spread / np.sqrt(n)
 
 
+def test_dishes_of_one_room():
+    """Several dishes in each of many rooms, against the exact mean numbers of tables."""
+    customers, p, strength, d, rooms = [2, 3, 8, 40, 150], [0.05, 0.2, 0.1, 0.3, 0.02], 1.0, 0.7, 400
+    each = []  # by dish: weights of its numbers of tables, scaled, without what the room adds
+    for c, q in zip(customers, p):
+        ways = np.full(c + 1, -np.inf)
+        ways[1] = 0.0
+        for k in range(2, c + 1):
+            t = np.arange(1, k + 1)
+            ways[t] = np.logaddexp(ways[t - 1], np.log(k - 1 - d * np.minimum(t, k - 1)) + ways[t])
+        logs = ways + np.arange(c + 1) * np.log(q)
+        each.append(np.exp(logs - logs.max()))
+    most = sum(customers)
+    room = np.concatenate([[0.0], np.cumsum(np.log(strength + d * np.arange(most)))])
+    exact = []
+    for i, own in enumerate(each):
+        others = np.ones(1)
+        for j, x in enumerate(each):
+            others = others if i == j else np.convolve(others, x)
+        with np.errstate(divide="ignore"):
+            logs = np.log(np.outer(own, others)) + room[np.add.outer(np.arange(len(own)), np.arange(len(others)))]
+        weight = np.exp(logs - logs.max()).sum(axis=1)
+        exact.append((weight * np.arange(len(own))).sum() / weight.sum())
+    n, rng = np.tile(customers, rooms), np.random.default_rng(5)
+    sizes, tables, total, found = n.copy(), np.ones(len(n), np.int64), np.full(rooms, len(customers)), []
+    of = np.repeat(np.arange(rooms), len(customers))
+    for turn in range(60):
+        sizes, tables = m.reseat(sizes, tables, n, np.tile(p, rooms), of, total, np.ones(len(n)), strength, d, rng)
+        assert (total == np.bincount(of, tables)).all() and (np.bincount(np.repeat(np.arange(len(n)), tables), sizes) == n).all() and sizes.min() > 0
+        if turn >= 20:
+            found.append(tables.reshape(rooms, -1).mean(axis=0))
+    assert np.mean(found, axis=0) == pytest.approx(exact, rel=0.025)
+
+
+def test_moves_back_to_the_same_table_cost_nothing():
+    """A million customers at one table, a new one of which opens seldom: one after the other, seconds for each dish."""
+    n, c, d = 100, 1_000_000, 0.6
+    total = np.full(n, 1000)
+    before = time.process_time()
+    sizes, tables = m.reseat(np.full(n, c), np.ones(n, np.int64), np.full(n, c), np.full(n, 1e-3), np.arange(n), total, np.ones(n), 1.0, d, np.random.default_rng(3))
+    assert time.process_time() - before < 5
+    assert sizes.sum() == n * c and (total == 999 + tables).all() and 1.2 < tables.mean() < 1.6
+
+
 def test_probabilities_sum_to_one(spark):
     """Of all words after a word that is followed by several, seen words and one unseen."""
     texts = ["a b a c", "a b", "a a b c a", "b c a d", "d a b a b", "", None]
